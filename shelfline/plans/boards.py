@@ -34,15 +34,19 @@ def _paid_cells(lake: Lakehouse) -> DataFrame:
     return sales_cells(lake, where=c("sale_amount") > 0)
 
 
-_ROWS = F.sum(c("sales") * c("repeats"))
-_REVENUE = F.sum(c("amount").cast(WIDE) * c("repeats"))
+def _rows() -> Column:
+    return F.sum(c("sales") * c("repeats"))
+
+
+def _revenue() -> Column:
+    return F.sum(c("amount").cast(WIDE) * c("repeats"))
 
 
 def sales_kpis(lake: Lakehouse) -> DataFrame:
     return _paid_cells(lake).agg(
-        F.coalesce(_ROWS, F.lit(0)).alias("transactions"),
-        _REVENUE.alias("revenue"),
-        ratio(_REVENUE, _ROWS).alias("avg_ticket"),
+        F.coalesce(_rows(), F.lit(0)).alias("transactions"),
+        _revenue().alias("revenue"),
+        ratio(_revenue(), _rows()).alias("avg_ticket"),
         F.min("sale_date").alias("first_date"),
         F.max("sale_date").alias("last_date"),
     )
@@ -53,7 +57,7 @@ def daily_trend(lake: Lakehouse) -> DataFrame:
     days = (
         _paid_cells(lake)
         .groupBy("sale_date")
-        .agg(_REVENUE.alias("daily_revenue"), _ROWS.alias("daily_transactions"))
+        .agg(_revenue().alias("daily_revenue"), _rows().alias("daily_transactions"))
     )
     return top_rows(days, [c("sale_date").desc_nulls_first()], 30).orderBy("sale_date")
 
@@ -63,7 +67,7 @@ def top_regions(lake: Lakehouse) -> DataFrame:
         _paid_cells(lake)
         .where(c("sale_region").isNotNull())
         .groupBy("sale_region")
-        .agg(_ROWS.alias("transactions"), _REVENUE.alias("revenue"))
+        .agg(_rows().alias("transactions"), _revenue().alias("revenue"))
     )
     return top_rows(regions, [c("revenue").desc_nulls_first(), c("sale_region")], 10)
 
@@ -152,7 +156,8 @@ def _promotions_by(lake: Lakehouse, key: str, **measures: Column) -> DataFrame:
     return known.groupBy(key).agg(*[column.alias(name) for name, column in {**common, **measures}.items()])
 
 
-_BY_REVENUE = c("total_revenue").desc_nulls_first()
+def _by_revenue() -> Column:
+    return c("total_revenue").desc_nulls_first()
 
 
 def promo_by_type(lake: Lakehouse) -> DataFrame:
@@ -162,7 +167,7 @@ def promo_by_type(lake: Lakehouse) -> DataFrame:
         avg_discount_pct=F.avg("discount_percentage"),
         avg_revenue_per_euro=F.avg("revenue_per_discount_euro"),
         total_customers=F.sum("unique_customers_reached"),
-    ).orderBy(_BY_REVENUE, "promotion_type")
+    ).orderBy(_by_revenue(), "promotion_type")
 
 
 def promo_by_region(lake: Lakehouse) -> DataFrame:
@@ -172,7 +177,7 @@ def promo_by_region(lake: Lakehouse) -> DataFrame:
         total_customers=F.sum("unique_customers_reached"),
         avg_market_share=F.avg("market_share_pct"),
         avg_market_share_calculated=F.avg("market_share_pct_calculated"),
-    ).orderBy(_BY_REVENUE, "region")
+    ).orderBy(_by_revenue(), "region")
 
 
 def promo_by_category(lake: Lakehouse) -> DataFrame:
@@ -182,7 +187,7 @@ def promo_by_category(lake: Lakehouse) -> DataFrame:
         avg_discount_pct=F.avg("discount_percentage"),
         avg_ticket=F.avg("avg_transaction_amount"),
     )
-    return top_rows(categories, [_BY_REVENUE, c("product_category")], 15)
+    return top_rows(categories, [_by_revenue(), c("product_category")], 15)
 
 
 def promo_roi_vs_discount(lake: Lakehouse) -> DataFrame:
@@ -248,7 +253,7 @@ def _pick(df: DataFrame, aspect: str, key: str, order: list[Column], count: int,
 
 def promo_best(lake: Lakehouse) -> DataFrame:
     """Best type, region and category by mean ROI, and the five best regions."""
-    best = [c("avg_roi").desc(), _BY_REVENUE]
+    best = [c("avg_roi").desc(), _by_revenue()]
     count, market = c("promotion_count"), c("avg_market_share")
     regions = promo_by_region(lake)
     return stack_ragged(
@@ -295,7 +300,8 @@ def campaign_types(lake: Lakehouse) -> DataFrame:
     return kinds.distinct().orderBy("campaign_type")
 
 
-_CONVERSION = F.avg("actual_conversion_rate") * 100
+def _conversion() -> Column:
+    return F.avg("actual_conversion_rate") * 100
 
 
 def marketing_kpis(lake: Lakehouse) -> DataFrame:
@@ -304,7 +310,7 @@ def marketing_kpis(lake: Lakehouse) -> DataFrame:
         F.sum("campaign_budget").alias("total_budget"),
         F.sum("generated_revenue").alias("total_revenue"),
         F.avg("roi_percentage").alias("avg_roi"),
-        _CONVERSION.alias("avg_conversion_rate"),
+        _conversion().alias("avg_conversion_rate"),
         F.sum("unique_customers_acquired").alias("total_customers_acquired"),
         F.avg("cost_per_acquisition").alias("avg_cpa"),
         F.avg("revenue_per_euro_spent").alias("avg_revenue_per_euro"),
@@ -350,12 +356,13 @@ def _campaigns_by(lake: Lakehouse, key: str, **measures: Column) -> DataFrame:
         "total_budget": F.sum("campaign_budget"),
         "total_revenue": F.sum("generated_revenue"),
         "avg_roi": F.avg("roi_percentage"),
-        "avg_conversion_rate": _CONVERSION,
+        "avg_conversion_rate": _conversion(),
     }
     return known.groupBy(key).agg(*[column.alias(name) for name, column in {**common, **measures}.items()])
 
 
-_BY_ROI = c("avg_roi").desc_nulls_first()
+def _by_roi() -> Column:
+    return c("avg_roi").desc_nulls_first()
 
 
 def campaign_by_type(lake: Lakehouse) -> DataFrame:
@@ -365,7 +372,7 @@ def campaign_by_type(lake: Lakehouse) -> DataFrame:
         avg_revenue_per_euro=F.avg("revenue_per_euro_spent"),
         total_customers=F.sum("unique_customers_acquired"),
         avg_cpa=F.avg("cost_per_acquisition"),
-    ).orderBy(_BY_ROI, "campaign_type")
+    ).orderBy(_by_roi(), "campaign_type")
 
 
 def campaign_budget_vs_revenue(lake: Lakehouse) -> DataFrame:
@@ -379,19 +386,19 @@ def campaign_by_region(lake: Lakehouse) -> DataFrame:
         "region",
         total_customers=F.sum("unique_customers_acquired"),
         avg_customer_cost=F.avg("cost_per_unique_customer"),
-    ).orderBy(_BY_ROI, "region")
+    ).orderBy(_by_roi(), "region")
 
 
 def campaign_by_category(lake: Lakehouse) -> DataFrame:
     categories = _campaigns_by(
         lake, "product_category", total_sales=F.sum("actual_sales"), avg_ticket=F.avg("avg_transaction_value")
     )
-    return top_rows(categories, [_BY_ROI, c("product_category")], 15)
+    return top_rows(categories, [_by_roi(), c("product_category")], 15)
 
 
 def campaign_category_chart(lake: Lakehouse) -> DataFrame:
     """Eight leading categories of the category table."""
-    leading = top_rows(campaign_by_category(lake), [_BY_ROI, c("product_category")], 8)
+    leading = top_rows(campaign_by_category(lake), [_by_roi(), c("product_category")], 8)
     return leading.select("product_category", "avg_roi")
 
 

@@ -96,8 +96,19 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+_lakes: dict[tuple[str, str], Lakehouse] = {}
+
+
+def lake_of(spark: SparkSession, folder: str) -> Lakehouse:
+    """The Lakehouse over a folder; queries share its table definitions (plans, not data)."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _lakes:
+        _lakes[key] = Lakehouse.from_star_schema(spark, folder)
+    return _lakes[key]
+
+
 def _run(plan: Plan, spark: SparkSession, folder: str) -> DataFrame:
-    return present(plan(Lakehouse.from_star_schema(spark, folder)))
+    return present(plan(lake_of(spark, folder)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

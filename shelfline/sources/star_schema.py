@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,12 +12,27 @@ from shelfline.sources.star_schema_sql import BRONZE_SQL
 SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "labels")
 
 
-def register_sources(spark: SparkSession, folder: str) -> None:
-    for name in SOURCE_TABLES:
-        spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet").createOrReplaceTempView(name)
+_opened: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def open_source(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """One source table; its schema is read once per application."""
+    key = (spark.sparkContext.applicationId, folder.rstrip("/"), table)
+    if key not in _opened:
+        _opened[key] = spark.read.parquet(f"{key[1]}/{table}.parquet")
+    return _opened[key]
+
+
+def _run(spark: SparkSession, folder: str, block: str) -> DataFrame:
+    """Run a block over the source tables it names."""
+    text = BRONZE_SQL[block]
+    for table in SOURCE_TABLES:
+        if re.search(rf"\b{table}\b", text):
+            open_source(spark, folder, table).createOrReplaceTempView(table)
+    return spark.sql(text)
 
 
-def _inventory_documents(spark: SparkSession) -> DataFrame:
+def _inventory_documents(part: DataFrame) -> DataFrame:
     """One JSON array of two elements per part, built row by row."""
     element = """
       named_struct(
@@ -30,18 +47,16 @@ def _inventory_documents(spark: SparkSession) -> DataFrame:
         'last_restock_date', DATE '2001-01-01' + CAST(p_partkey % 200 AS INT))
     """
     array = f"transform(array(0, 1), e -> {element})"
-    return spark.table("part").select(F.parse_json(F.expr(f"to_json({array})")).alias("raw_data"))
+    return part.select(F.parse_json(F.expr(f"to_json({array})")).alias("raw_data"))
 
 
-def _store_documents(spark: SparkSession) -> DataFrame:
-    items = spark.sql(BRONZE_SQL["store_items"])
+def _store_documents(items: DataFrame) -> DataFrame:
     return items.select(F.parse_json(F.to_json(F.array(F.struct(*items.columns)))).alias("raw_data"))
 
 
 def read_bronze(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    register_sources(spark, folder)
     if table == "inventory_staging":
-        return _inventory_documents(spark)
+        return _inventory_documents(open_source(spark, folder, "part"))
     if table == "store_locations_staging":
-        return _store_documents(spark)
-    return spark.sql(BRONZE_SQL[table])
+        return _store_documents(_run(spark, folder, "store_items"))
+    return _run(spark, folder, table)
