@@ -2,6 +2,9 @@
 
 A range of days is joined through the days it covers, so every join here is an equality join that Spark can hash and
 shuffle by key; no operator compares each row with each range.
+
+Spark's size estimate does not see that expanding a range multiplies its rows, so expanded sides carry a merge hint:
+they are never broadcast on that estimate, and adaptive execution may split their join at hot keys.
 """
 
 from __future__ import annotations
@@ -53,7 +56,7 @@ def interval_join(
     if how == "left_anti":
         return points.join(keyed.select(*helpers).distinct(), condition, how)
     shared = [name for name in on.values() if name in points.columns]
-    return points.join(keyed.drop(*shared), condition, how).drop(*helpers)
+    return points.join(keyed.drop(*shared).hint("merge"), condition, how).drop(*helpers)
 
 
 def split_by_ranges(
@@ -110,7 +113,7 @@ def range_stats(
     distinct = ranges.select(*keys).distinct()
     days = days_covered(distinct, start, end, "_day")
     per_day = daily.withColumnRenamed(day, "_day")
-    return days.join(per_day, [*on, "_day"], "inner").groupBy(*keys).agg(*stats)
+    return days.hint("merge").join(per_day, [*on, "_day"], "inner").groupBy(*keys).agg(*stats)
 
 
 def range_visitors(
@@ -140,7 +143,8 @@ def range_visitors(
     days = days_covered(ranges.select(*keys).distinct(), start, end, "_day")
     first_inside = F.col("_previous").isNull() | (F.col("_previous") < F.col(start))
     return (
-        days.join(arrivals, [*on, "_day"], "inner")
+        days.hint("merge")
+        .join(arrivals, [*on, "_day"], "inner")
         .where(first_inside)
         .groupBy(*keys)
         .agg(F.sum("_arrivals").alias(name))

@@ -8,42 +8,44 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Buckets the value range is cut into; only their totals meet in one task.
-BUCKETS = 500
+BUCKETS = 64
 
 
 def running_counts(df: DataFrame, value: str) -> DataFrame:
-    """Distinct non-NULL values with their row count and the rows holding smaller values: (value, rows, below).
+    """Distinct values with their row count, the rows sorting before them and all rows: (value, rows, below, total).
 
-    Equal rows are merged first, so a common value is one row. The values are cut at approximate quantiles and
-    accumulated bucket by bucket; the bucket totals, one row a bucket, give each bucket its starting count.
+    NULL sorts last. Equal rows are merged first, so a common value is one row. The values are cut at approximate
+    quantiles and accumulated bucket by bucket; the bucket totals, one row a bucket, give each bucket its start.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("rows"))
+    counts = df.groupBy(value).agg(F.count("*").alias("rows")).withColumn("_at", F.col(value).cast("double"))
     fractions = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
-    cuts = counts.agg(F.percentile_approx(F.col(value).cast("double"), fractions, 10 * BUCKETS)).scalar()
+    cuts = counts.agg(F.percentile_approx("_at", fractions, 20 * BUCKETS)).scalar()
+    smaller = F.size(F.filter("_cuts", lambda cut: cut < F.col("_at")))
     bucketed = counts.withColumn("_cuts", cuts).withColumn(
-        "_bucket", F.size(F.filter("_cuts", lambda cut: cut < F.col(value).cast("double")))
-    ).drop("_cuts")
-    totals = bucketed.groupBy("_bucket").agg(F.sum("rows").alias("_total"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return bucketed.join(starts, "_bucket").select(
-        value, "rows", (F.col("_start") + F.coalesce(F.sum("rows").over(inside), F.lit(0))).alias("below")
+        "_bucket", F.when(F.col("_at").isNull(), BUCKETS).otherwise(smaller)
+    )
+    totals = bucketed.groupBy("_bucket").agg(F.sum("rows").alias("_rows"))
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(
+        "_bucket",
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
+        F.sum("_rows").over(Window.partitionBy()).alias("total"),
     )
+    inside = Window.partitionBy("_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("_start") + F.coalesce(F.sum("rows").over(inside), F.lit(0))
+    return bucketed.join(F.broadcast(starts), "_bucket").select(value, "rows", below.alias("below"), "total")
 
 
 def exact_median(df: DataFrame, value: str, name: str = "median") -> DataFrame:
     """Exact interpolated median of a column as a one-row table."""
-    counts = running_counts(df, value)
-    total = df.agg(F.count(value)).scalar()
-    placed = counts.withColumn("_total", total)
+    counts = running_counts(df.where(F.col(value).isNotNull()), value)
     # Zero-based positions of the one or two middle rows.
-    lower, upper = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)
+    lower, upper = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
 
     def holds(position: Column) -> Column:
         return (F.col("below") <= position) & (position < F.col("below") + F.col("rows"))
 
-    middle = placed.where(holds(lower) | holds(upper))
+    middle = counts.where(holds(lower) | holds(upper))
     at = F.col(value).cast("double")
     return middle.agg(((F.min(at) + F.max(at)) / 2).alias(name))
 
@@ -51,19 +53,12 @@ def exact_median(df: DataFrame, value: str, name: str = "median") -> DataFrame:
 def rank_by(df: DataFrame, value: str, name: str) -> DataFrame:
     """RANK over the whole table by ``value`` descending, NULLs first.
 
-    The rank depends on the value alone: 1 + rows with NULL + rows with greater values. It is worked out per distinct
-    value and joined back, so equal rows need not meet in one task.
+    The rank is 1 plus the rows with greater values, so it is worked out per distinct value and joined back; equal
+    rows need not meet in one task.
     """
-    counts = running_counts(df, value)
-    known = df.agg(F.count(value)).scalar()
-    missing = df.agg(F.count_if(F.col(value).isNull())).scalar()
-    ranks = (
-        counts.withColumns({"_known": known, "_missing": missing})
-        .withColumn(name, F.col("_missing") + F.col("_known") - F.col("below") - F.col("rows") + 1)
-        .select(F.col(value).alias("_value"), name)
-    )
-    ranked = df.join(ranks, F.col(value) == F.col("_value"), "left").drop("_value")
-    return ranked.withColumn(name, F.coalesce(F.col(name), F.lit(1)))
+    place = F.col("total") - F.col("below") - F.col("rows") + 1
+    ranks = running_counts(df, value).select(F.col(value).alias("_value"), place.alias(name))
+    return df.join(ranks, df[value].eqNullSafe(ranks["_value"])).drop("_value")
 
 
 def top_rows(df: DataFrame, order: Sequence[Column], count: int) -> DataFrame:

@@ -146,7 +146,7 @@ def _offers(lake: Lakehouse) -> DataFrame:
         F.col("reach").alias("campaign_reach"),
         F.col("conversion_rate").alias("campaign_conversion_rate"),
     )
-    return promotions.join(campaigns, CELL, "full")
+    return promotions.hint("merge").join(campaigns, CELL, "full")
 
 
 def sales_enriched(lake: Lakehouse) -> DataFrame:
@@ -270,7 +270,8 @@ def _buyers(ranges: DataFrame, key: str, lake: Lakehouse) -> DataFrame:
     of_single = single.join(counted, RANGE).select(key, "unique_buyers")
     days = days_covered(several, day="sale_date").select(key, "region", "sale_date").distinct()
     of_several = (
-        days.join(visits.distinct(), ["region", "sale_date"])
+        days.hint("merge")
+        .join(visits.distinct(), ["region", "sale_date"])
         .groupBy(key)
         .agg(F.count_distinct("merchant_entity").alias("unique_buyers"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,14 +10,12 @@ from shelfline.sources import schemas
 
 BAD = "_bad"
 
-# columnPruning is off so that a line is judged on all its fields whichever columns a query reads.
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
     "escape": '"',
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": BAD,
-    "columnPruning": "false",
 }
 RAW_LINE_OPTIONS = {"header": "true", "sep": "\u0001", "quote": ""}
 
@@ -31,15 +29,19 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(with_reject_column(schema)).options(**CSV_OPTIONS).csv(path)
 
 
+def _all_fields_read(scanned: DataFrame) -> Column:
+    """Always true, but makes the scan parse every field: a line is judged only on the fields a query reads."""
+    fields = [name for name in scanned.columns if name != BAD]
+    return F.hash(*fields) >= F.lit(-(2**31))
+
+
 def accepted(scanned: DataFrame) -> DataFrame:
-    return scanned.where(F.col(BAD).isNull()).drop(BAD)
+    return scanned.where(F.col(BAD).isNull() & _all_fields_read(scanned)).drop(BAD)
 
 
 def rejects(scanned: DataFrame) -> DataFrame:
     """Lines that did not load, as text."""
-    # Spark refuses to read the reject column alone; this always-true test brings the first column along.
-    first = F.coalesce(F.col(scanned.columns[0]).cast("string"), F.lit("")) >= F.lit("")
-    return scanned.where(F.col(BAD).isNotNull() & first).select(F.col(BAD).alias("line"))
+    return scanned.where(F.col(BAD).isNotNull() & _all_fields_read(scanned)).select(F.col(BAD).alias("line"))
 
 
 def read_lines(spark: SparkSession, path: str, column: str = "raw_line") -> DataFrame:
@@ -50,7 +52,7 @@ def read_lines(spark: SparkSession, path: str, column: str = "raw_line") -> Data
 
 def read_json_documents(spark: SparkSession, path: str, column: str = "raw_data") -> DataFrame:
     """One variant per document (a file may hold one document over many lines)."""
-    text = spark.read.option("wholetext", "true").text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.try_parse_json("value").alias(column)).where(F.col(column).isNotNull())
 
 
