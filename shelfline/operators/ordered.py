@@ -20,7 +20,8 @@ def running_counts(df: DataFrame, value: str) -> DataFrame:
     counts = df.groupBy(value).agg(F.count("*").alias("rows")).withColumn("_at", F.col(value).cast("double"))
     fractions = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
     cuts = counts.agg(F.percentile_approx("_at", fractions, 20 * BUCKETS)).scalar()
-    smaller = F.size(F.filter("_cuts", lambda cut: cut < F.col("_at")))
+    # Never NULL, or the join below would test the bucket of every row before equal rows are merged.
+    smaller = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col("_at"))), F.lit(0))
     bucketed = counts.withColumn("_cuts", cuts).withColumn(
         "_bucket", F.when(F.col("_at").isNull(), BUCKETS).otherwise(smaller)
     )
