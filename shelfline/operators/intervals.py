@@ -3,8 +3,9 @@
 A range of days is joined through the days it covers, so every join here is an equality join that Spark can hash and
 shuffle by key; no operator compares each row with each range.
 
-Spark's size estimate does not see that expanding a range multiplies its rows, so expanded sides carry a merge hint:
-they are never broadcast on that estimate, and adaptive execution may split their join at hot keys.
+Spark's size estimate does not see that expanding a range multiplies its rows. An expanded side is therefore broadcast
+only when its days have been counted and are few; otherwise it carries a merge hint, and adaptive execution may split
+its join at hot keys.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.operators.sizing import join_side
+
 
 def days_covered(ranges: DataFrame, start: str = "start_date", end: str = "end_date", day: str = "day") -> DataFrame:
     """One row per range and day it covers, both ends included; empty and open ranges cover none."""
@@ -21,6 +24,13 @@ def days_covered(ranges: DataFrame, start: str = "start_date", end: str = "end_d
     return valid.withColumn(day, F.explode(F.sequence(F.col(start), F.col(end))))
 
 
+def _range_days(ranges: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """Days of the distinct ranges, marked for the join that suits their number."""
+    distinct = ranges.select(*keys).distinct()
+    count = distinct.where(F.col(start) <= F.col(end)).agg(F.sum(F.datediff(end, start) + F.lit(1).cast("bigint")))
+    return join_side(days_covered(distinct, start, end, "_day"), count)
+
+
 def interval_join(
     points: DataFrame,
     ranges: DataFrame,
@@ -110,10 +120,9 @@ def range_stats(
     those are limited by the calendar, and so is what is expanded into days.
     """
     keys = [*on, start, end]
-    distinct = ranges.select(*keys).distinct()
-    days = days_covered(distinct, start, end, "_day")
+    days = _range_days(ranges, keys, start, end)
     per_day = daily.withColumnRenamed(day, "_day")
-    return days.hint("merge").join(per_day, [*on, "_day"], "inner").groupBy(*keys).agg(*stats)
+    return days.join(per_day, [*on, "_day"], "inner").groupBy(*keys).agg(*stats)
 
 
 def range_visitors(
@@ -140,11 +149,10 @@ def range_visitors(
         .groupBy(*on, "_day", "_previous")
         .agg(F.count("*").alias("_arrivals"))
     )
-    days = days_covered(ranges.select(*keys).distinct(), start, end, "_day")
+    days = _range_days(ranges, keys, start, end)
     first_inside = F.col("_previous").isNull() | (F.col("_previous") < F.col(start))
     return (
-        days.hint("merge")
-        .join(arrivals, [*on, "_day"], "inner")
+        days.join(arrivals, [*on, "_day"], "inner")
         .where(first_inside)
         .groupBy(*keys)
         .agg(F.sum("_arrivals").alias(name))
