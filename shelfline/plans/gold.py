@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions import bands
-from shelfline.functions.dialect import flag, half_up, lenient_id, mean, percent, ratio, years_between
+from shelfline.functions.dialect import flag, half_up, lenient_id, percent, ratio, years_between
 from shelfline.operators.intervals import days_covered, range_stats, range_visitors, running_keys, split_by_ranges
 from shelfline.operators.sizing import join_side
 
