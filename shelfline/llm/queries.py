@@ -6,16 +6,38 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import simhash
+from shelfline.llm import debruijn, simhash, token_counts, topk
 from shelfline.llm.common import ship, table
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return debruijn.substring_dedup(table(spark, folder, "documents"))
+
+
+def op9_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_counts": op3_token_counts,
     "op6_near_duplicates": op6_near_duplicates,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_exact_top_k": op9_exact_top_k,
 }
 
 
