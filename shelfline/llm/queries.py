@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import debruijn, simhash, token_counts, topk
+from shelfline.llm import debruijn, html_text, resampling, simhash, token_counts, topk
 from shelfline.llm.common import ship, table
 
 
@@ -17,10 +17,18 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -34,7 +42,9 @@ def op9_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_main_text": op1_main_text,
     "op3_token_counts": op3_token_counts,
+    "op5_quality": op5_quality,
     "op6_near_duplicates": op6_near_duplicates,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_exact_top_k": op9_exact_top_k,
