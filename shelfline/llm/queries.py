@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import debruijn, html_text, resampling, simhash, token_counts, topk
+from shelfline.llm import debruijn, html_text, line_runs, resampling, simhash, token_counts, topk
 from shelfline.llm.common import ship, table
 
 
@@ -21,6 +21,10 @@ def op1_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
 
 
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_runs.line_dedup(table(spark, folder, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -43,6 +47,7 @@ def op9_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
+    "op2_line_dedup": op2_line_dedup,
     "op3_token_counts": op3_token_counts,
     "op5_quality": op5_quality,
     "op6_near_duplicates": op6_near_duplicates,
@@ -63,5 +68,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: _shipping(query) for name, query in QUERIES.items()}
 
 
+ORACLE_SQL: dict[str, str] = {}
+
+# Later copies of runs of two lines or more: a line goes if it starts or ends a pair of lines that stands earlier too.
+ORACLE_SQL["op2_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents WHERE text IS NOT NULL),
+pairs AS (
+  SELECT doc_id, i, md5(s) || md5(lead(s) OVER (PARTITION BY doc_id ORDER BY i)) AS p FROM lines),
+marked AS (
+  SELECT doc_id, i, p IS NOT NULL AND row_number() OVER (PARTITION BY p ORDER BY doc_id, i) > 1 AS copied FROM pairs),
+gone AS (
+  SELECT doc_id, i, copied OR coalesce(lag(copied) OVER (PARTITION BY doc_id ORDER BY i), false) AS removed FROM marked),
+kept AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE removed) AS n_removed,
+    coalesce(string_agg(s, chr(10) ORDER BY i) FILTER (WHERE NOT removed), '') AS text
+  FROM gone JOIN lines USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE_SQL)
