@@ -25,6 +25,8 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # Shuffle files go when the driver's JVM collects what refers to them; a small idle driver may not do so for long.
+    spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
@@ -55,6 +57,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """(doc_id, rid, text): the columns operators work on. ``rid``, a hash of the text, tells repeated ids apart."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("rid"), text.alias("text"))
+
+
+def rows_of(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` with (``left_semi``) or without (``left_anti``) their (doc_id, rid) in ``keys``; nulls match nulls."""
+    text = docs["text"].cast("string")
+    return docs.join(keys, docs["doc_id"].cast("long").eqNullSafe(keys["doc_id"]) & (F.xxhash64(text) == keys["rid"]), how)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: one row (node, component) for each node with an edge.
 

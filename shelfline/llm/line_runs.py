@@ -86,40 +86,44 @@ def repeated_runs(docs: DataFrame, depth: int = MIN_LINES) -> DataFrame:
     return runs.select("doc", "rid", "start", "length")
 
 
-def without_copies(docs: DataFrame, depth: int = MIN_LINES) -> DataFrame:
-    """``docs`` with later copies of repeated line runs deleted from ``text``; adds ``n_lines`` and ``n_removed``.
+def marked(docs: DataFrame, depth: int = MIN_LINES) -> DataFrame:
+    """(row, left, n_lines, n_removed): each row of ``docs`` as a struct, the text left of it, its lines and those deleted.
 
     Lines end at line feeds and are compared exactly. Documents are ordered by doc_id; of rows with the same doc_id and
     different texts the order is that of a hash of the text. Null text: no lines, stays null. Empty text: one empty line,
     which alone is no run. Null doc_id: the row is kept whole and is no source. Repeated rows are treated alike. Fewer
-    than ``depth`` lines: kept whole. All other columns are kept, also those named like columns used here.
+    than ``depth`` lines: kept whole.
     """
-    named = docs.columns
-    rows = _identified(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(named)], "doc_id", "text"))
+    rows = _identified(docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), "doc_id", "text"))
     runs = repeated_runs(docs.select("doc_id", "text"), depth)
     spans = runs.groupBy("doc", "rid").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("spans"))
     joined = rows.join(spans, (F.col("_id") == F.col("doc")) & (F.col("_rid") == F.col("rid")), "left")
     lines = joined.withColumn("lines", F.split("_text", "\n"))
-    gone = F.expr("flatten(transform(spans, s -> sequence(s.start, s.start + s.length - 1)))")
-    marked = lines.withColumn("gone", gone)
+    gone = F.expr("aggregate(spans, 0, (n, s) -> n + s.length)")
     # Lines between the runs: from the end of one to the start of the next.
     left = F.expr(
-        """if(spans is null, lines, flatten(zip_with(
+        """flatten(zip_with(
              concat(array(0), transform(spans, s -> s.start + s.length)),
              concat(transform(spans, s -> s.start), array(size(lines))),
-             (a, b) -> slice(lines, a + 1, b - a))))"""
+             (a, b) -> slice(lines, a + 1, b - a)))"""
     )
     text = F.when(F.col("spans").isNull(), F.col("_text")).otherwise(F.array_join(left, "\n"))
-    out = marked.withColumn("kept", text)
-    columns = [F.col("kept").alias("text") if c == "text" else F.col(f"c{i}").alias(c) for i, c in enumerate(named)]
-    return out.select(
-        *columns, F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed")
-    )
+    n_lines = F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long")
+    return lines.select("row", text.alias("left"), n_lines.alias("n_lines"), F.coalesce(gone, F.lit(0)).cast("long").alias("n_removed"))
+
+
+def without_copies(docs: DataFrame, depth: int = MIN_LINES) -> DataFrame:
+    """``docs`` with later copies of repeated line runs deleted from ``text``, all its columns kept.
+
+    Rows of which a run was deleted and no word is left go.
+    """
+    out = marked(docs, depth).where((F.col("n_removed") == 0) | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
+    return out.select(*(F.col("left").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
     """Result of the query: doc_id, n_lines, n_removed, kept_sha256 of the text that is left (null text: as empty)."""
-    out = without_copies(docs.select("doc_id", "text"))
+    out = marked(docs.select("doc_id", "text"))
     return out.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+        F.col("row.doc_id").cast("long").alias("doc_id"), "n_lines", "n_removed", F.sha2(F.coalesce("left", F.lit("")), 256).alias("kept_sha256")
     )

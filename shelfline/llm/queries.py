@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import debruijn, html_text, line_runs, resampling, simhash, token_counts, topk
+from shelfline.llm import debruijn, decontamination, html_text, licences, line_runs, resampling, simhash, subword, token_counts, topk
 from shelfline.llm.common import ship, table
 
 
@@ -29,6 +29,10 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op4_merge_dropout(spark: SparkSession, folder: str) -> DataFrame:
+    return subword.segmentations(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -37,6 +41,10 @@ def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.decontamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return debruijn.substring_dedup(table(spark, folder, "documents"))
 
@@ -45,14 +53,21 @@ def op9_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"))
 
 
+def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.licences(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_line_dedup": op2_line_dedup,
     "op3_token_counts": op3_token_counts,
+    "op4_merge_dropout": op4_merge_dropout,
     "op5_quality": op5_quality,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_decontamination": op7_decontamination,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_exact_top_k": op9_exact_top_k,
+    "op10_licences": op10_licences,
 }
 
 

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import stored
+from shelfline.llm.common import identified, rows_of, stored
 from shelfline.llm.words import Words, chunks, grams
 
 BUCKETS = 1 << 20
@@ -107,8 +107,8 @@ def weighted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, kind, held, good, clean): both mean log ratios of every document. No words: both zero."""
     spark = docs.sparkSession
     sample = F.broadcast(stored(labelled_kinds(labels)))  # LABELLED rows of 17 bytes at most
-    text = F.col("text").cast("string").alias("text")
-    fit = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).join(sample.where("not held"), "doc_id", "left")
+    rows = identified(docs)
+    fit = rows.select("doc_id", "text").join(sample.where("not held"), "doc_id", "left")
     first, second = ratios(fit)
     shared = spark.sparkContext.broadcast((first, np.where(second < CLEAR, second, 0).astype(np.float32)))
 
@@ -123,9 +123,8 @@ def weighted(docs: DataFrame, labels: DataFrame) -> DataFrame:
                     row[at : at + len(part)] = np.bincount(doc, weights=weights[bucket], minlength=len(part)) / n
             yield pd.DataFrame({"good": out[0], "clean": out[1]})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).withColumn("s", score("text"))
-    return rows.join(sample, "doc_id", "left").select(
-        "doc_id", F.xxhash64("text").alias("rid"), "kind", "held", F.col("s.good").alias("good"), F.col("s.clean").alias("clean")
+    return rows.withColumn("s", score("text")).join(sample, "doc_id", "left").select(
+        "doc_id", "rid", "kind", "held", F.col("s.good").alias("good"), F.col("s.clean").alias("clean")
     )
 
 
@@ -179,9 +178,8 @@ def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def selected(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    kept = resample(docs, labels).where("kept").select(F.col("doc_id").alias("_id"), F.col("rid").alias("_rid")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_rid"))
-    return docs.join(kept, same, "left_semi")
+    kept = stored(resample(docs, labels).where("kept").select("doc_id", "rid").distinct())
+    return rows_of(docs, kept, "left_semi")
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import components, stored
+from shelfline.llm.common import components, identified, rows_of, stored
 
 SHINGLE = 3
 RADIUS = 3
@@ -51,13 +51,13 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row; text null or without words: 0."""
+    """(doc_id, rid, fp) of every row; text null or without words: fp 0."""
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), of(F.col("text").cast("string")).alias("fp"))
+    return identified(docs).select("doc_id", "rid", of("text").alias("fp"))
 
 
 def _anchor_rows(fps: DataFrame) -> DataFrame:
@@ -149,11 +149,11 @@ def links(fps: DataFrame, tile: int = TILE) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs(doc_id, text)``.
+    """(doc_id, rid, fp, component_id) of every row of ``docs(doc_id, text)``.
 
     component_id: smallest doc_id reachable over links of at most 3 bits. Null or empty text: fingerprint 0, linked like
     any other. Null doc_id: takes part through its fingerprint, but is never a component_id unless no document of the
-    group has an id (then null). Repeated rows give repeated rows. Other columns are ignored.
+    group has an id (then null). Repeated rows give repeated rows. ``rid`` is a hash of the text. Other columns are ignored.
     """
     prints = stored(fingerprints(docs, shingle))
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
@@ -164,10 +164,25 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     lowest = linked.groupBy("component").agg(F.min("first").alias("low"))
     named = linked.join(lowest, "component").select("fp", "low")
     names = stored(nodes.join(named, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id")))
-    return prints.join(names, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(names, "fp").select("doc_id", "rid", "fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Result of the query: doc_id, fingerprint (16 hex digits), component_id."""
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return near_groups(docs).select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The row with the smallest doc_id of each group of near duplicates, with all columns.
+
+    A group without any id, and of other groups the rows without one, stay. Of rows that repeat an id in one group one stays.
+    """
+    groups = stored(near_groups(docs))
+    gone = groups.where("doc_id <> component_id").select("doc_id", "rid").distinct()
+    again = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.collect_set("rid").alias("rids"))
+    again = stored(again.where("n > 1").select("doc_id", F.explode("rids").alias("rid")))
+    left = rows_of(docs, gone, "left_anti")
+    if again.isEmpty():
+        return left
+    return rows_of(left, again, "left_anti").unionAll(rows_of(left, again, "left_semi").dropDuplicates(["doc_id"]))
