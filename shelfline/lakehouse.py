@@ -35,6 +35,11 @@ class Lakehouse:
     def from_files(cls, spark: SparkSession, folder: str, as_of: dt.date) -> Lakehouse:
         return cls(spark, lambda table: files.read_bronze(spark, folder, table), as_of)
 
+    @classmethod
+    def from_loaded(cls, spark: SparkSession, folder: str, as_of: dt.date) -> Lakehouse:
+        """Over the Parquet folders that the incremental load fills, one named after each Bronze table."""
+        return cls(spark, lambda table: files.accepted(spark.read.parquet(f"{folder.rstrip('/')}/{table}")), as_of)
+
     @classmethod
     def from_frames(cls, spark: SparkSession, as_of: dt.date, **tables: DataFrame) -> Lakehouse:
         """Use given DataFrames: Bronze names as Bronze tables, Silver names as already cleaned ones."""

@@ -1,4 +1,7 @@
-"""Raw-file readers: lenient delimited files, undelimited lines and JSON documents."""
+"""Raw-file readers: lenient delimited files, undelimited lines and JSON documents.
+
+Nothing read is lost: each record of a file is either accepted or kept as text in ``_bad`` and counted as a reject.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfline.functions.dialect import lenient_date, lenient_id
 from shelfline.sources import schemas
 
 BAD = "_bad"
@@ -16,32 +20,69 @@ CSV_OPTIONS = {
     "escape": '"',
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": BAD,
+    # A quoted field may hold line breaks. Such files do not split: large exports should come as several files, or be
+    # read with ``multiLine`` off where no field holds one.
+    "multiLine": "true",
 }
 RAW_LINE_OPTIONS = {"header": "true", "sep": "\u0001", "quote": ""}
 
 
-def with_reject_column(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
+def text_schema(schema: T.StructType) -> T.StructType:
+    """All fields as text, and the column that keeps records of another shape."""
+    return T.StructType([*(T.StructField(f.name, T.StringType()) for f in schema), T.StructField(BAD, T.StringType())])
+
 
+def _typed(field: T.StructField, text: Column) -> Column:
+    """A field's text in its type, NULL where it does not convert. Whole numbers round half up."""
+    if isinstance(field.dataType, T.LongType):
+        return lenient_id(text)
+    if isinstance(field.dataType, T.DateType):
+        return lenient_date(text)
+    return text.try_cast(field.dataType)
 
-def read_delimited(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read every line; one that does not fit the schema keeps its text in ``_bad``."""
-    return spark.read.schema(with_reject_column(schema)).options(**CSV_OPTIONS).csv(path)
 
+def parsed(texts: DataFrame, table: str) -> DataFrame:
+    """Typed columns of ``table`` and ``_bad`` from records read with ``text_schema``.
 
-def _all_fields_read(scanned: DataFrame) -> Column:
-    """Always true, but makes the scan parse every field: a line is judged only on the fields a query reads."""
-    fields = [name for name in scanned.columns if name != BAD]
-    return F.hash(*fields) >= F.lit(-(2**31))
+    A record is bad when its number of fields is wrong or a field that is not empty does not convert. Optional trailing
+    fields may be absent, record by record, so one folder can hold files of both forms.
+    """
+    schema = schemas.CSV_SCHEMAS[table]
+    optional = schemas.OPTIONAL_COLUMNS.get(table, ())
+    names = [f.name for f in schema]
+    # Without corrupt-record checks on the fields of one query alone: all fields are read together.
+    whole = texts.select(F.struct(*names).alias("_fields"), BAD)
+    if optional:
+        short = T.StructType([f for f in schema if f.name not in optional])
+        options = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "multiLine")}
+        ddl = ", ".join(f"{f.name} string" for f in text_schema(short))
+        again = F.from_csv(F.col(BAD), F.lit(ddl), options)
+        second = whole.withColumn("_again", F.when(F.col(BAD).isNotNull(), again))
+        fits = F.col(BAD).isNotNull() & F.col(f"_again.{BAD}").isNull()
+        fields = F.struct(*(F.when(fits, F.lit(None) if n in optional else F.col(f"_again.{n}")).otherwise(F.col(f"_fields.{n}")).alias(n) for n in names))
+        whole = second.select(fields.alias("_fields"), F.when(~fits, F.col(BAD)).alias(BAD))
+    texts_of = {f.name: F.col(f"_fields.{f.name}") for f in schema}
+    wrong = F.lit(False)
+    for f in schema:
+        if not isinstance(f.dataType, T.StringType):
+            text = texts_of[f.name]
+            wrong |= text.isNotNull() & (F.trim(text) != "") & _typed(f, text).isNull()
+    bad = F.when(F.col(BAD).isNotNull(), F.col(BAD)).when(wrong, F.to_csv("_fields"))
+    return whole.select(*(_typed(f, texts_of[f.name]).alias(f.name) for f in schema), bad.alias(BAD))
+
+
+def read_delimited(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Read every record; one that does not fit the table keeps its text in ``_bad``."""
+    return parsed(spark.read.schema(text_schema(schemas.CSV_SCHEMAS[table])).options(**CSV_OPTIONS).csv(path), table)
 
 
 def accepted(scanned: DataFrame) -> DataFrame:
-    return scanned.where(F.col(BAD).isNull() & _all_fields_read(scanned)).drop(BAD)
+    return scanned.where(F.col(BAD).isNull()).drop(BAD)
 
 
 def rejects(scanned: DataFrame) -> DataFrame:
-    """Lines that did not load, as text."""
-    return scanned.where(F.col(BAD).isNotNull() & _all_fields_read(scanned)).select(F.col(BAD).alias("line"))
+    """Records that did not load, as text."""
+    return scanned.where(F.col(BAD).isNotNull()).select(F.col(BAD).alias("line"))
 
 
 def read_lines(spark: SparkSession, path: str, column: str = "raw_line") -> DataFrame:
@@ -50,48 +91,55 @@ def read_lines(spark: SparkSession, path: str, column: str = "raw_line") -> Data
     return spark.read.schema(schema).options(**RAW_LINE_OPTIONS).csv(path)
 
 
-def read_json_documents(spark: SparkSession, path: str, column: str = "raw_data") -> DataFrame:
-    """One variant per document (a file may hold one document over many lines)."""
-    text = spark.read.text(path, wholetext=True)
-    return text.select(F.try_parse_json("value").alias(column)).where(F.col(column).isNotNull())
+def json_documents(texts: DataFrame, column: str = "raw_data") -> DataFrame:
+    """(raw_data, _bad) of every JSON document in ``value``, the text of a whole file or of a line.
 
+    A file whose first line is a document by itself holds one document a line; any other file is one document. What is
+    not one complete document is kept as text in ``_bad``.
+    """
 
-def read_json_lines(spark: SparkSession, path: str, column: str = "raw_data") -> DataFrame:
-    """One variant per line, for large exports written one document a line; these split across tasks."""
-    return spark.read.text(path).select(F.try_parse_json("value").alias(column)).where(F.col(column).isNotNull())
+    def document(text: Column) -> Column:
+        """The variant; NULL unless the text is one complete value (text after the first value would be ignored)."""
+        return F.when(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNotNull(), F.try_parse_json(text))
 
+    lines = F.filter(F.split("value", "\r?\n"), lambda line: F.trim(line) != "")
+    by_line = document(F.try_element_at(lines, F.lit(1))).isNotNull()
+    pieces = texts.select(F.explode(F.when(by_line, lines).otherwise(F.array("value"))).alias("_text")).where(F.trim("_text") != "")
+    made = pieces.select(document(F.col("_text")).alias(column), "_text")
+    return made.select(column, F.when(F.col(column).isNull(), F.col("_text")).alias(BAD))
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    first = spark.read.text(path).first()
-    return [] if first is None else [name.strip().strip('"').lower() for name in first[0].split(",")]
+
+def read_json_documents(spark: SparkSession, path: str, column: str = "raw_data") -> DataFrame:
+    """One variant per document, and rejects: a file may hold one document over many lines or one a line."""
+    return json_documents(spark.read.text(path, wholetext=True), column)
+
+
+def read_json_lines(spark: SparkSession, path: str, column: str = "raw_data") -> DataFrame:
+    """One variant per line, and rejects, for large exports written one document a line; these split across tasks."""
+    return json_documents(spark.read.text(path), column)
 
 
 def scan(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """Scan one Bronze table's raw file, rejected lines included."""
+    """Scan one Bronze table's raw file, rejected records included in ``_bad``."""
     path = f"{folder.rstrip('/')}/{schemas.FILES[table]}"
     if table in schemas.RAW_LINE_TABLES:
-        return read_lines(spark, path)
+        return read_lines(spark, path).withColumn(BAD, F.lit(None).cast("string"))
     if table in schemas.JSON_TABLES:
-        return read_json_documents(spark, path)
-    declared = schemas.CSV_SCHEMAS[table]
-    optional = schemas.OPTIONAL_COLUMNS.get(table, ())
-    absent = set(optional) - set(_header(spark, path)) if optional else set()
-    present = T.StructType([field for field in declared if field.name not in absent])
-    scanned = read_delimited(spark, path, present)
-    return scanned.withColumns({f.name: F.lit(None).cast(f.dataType) for f in declared if f.name in absent})
+        read = read_json_lines if schemas.JSON_LAYOUT[table] == "lines" else read_json_documents
+        return read(spark, path)
+    return read_delimited(spark, path, table)
 
 
 def read_bronze(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    scanned = scan(spark, folder, table)
-    return accepted(scanned) if table in schemas.CSV_SCHEMAS else scanned
+    return accepted(scan(spark, folder, table))
 
 
 def reject_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Rejected line count of each delimited table."""
+    """Rejected record count of each Bronze table."""
     parts = [
         rejects(scan(spark, folder, table)).agg(F.count("*").alias("rejected_lines"))
         .select(F.lit(table).alias("table_name"), "rejected_lines")
-        for table in schemas.CSV_SCHEMAS
+        for table in schemas.BRONZE_TABLES
     ]
     report = parts[0]
     for part in parts[1:]:

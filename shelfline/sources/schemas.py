@@ -53,6 +53,8 @@ OPTIONAL_COLUMNS = {"customer_service_interactions": ("customer_id", "order_id")
 
 RAW_LINE_TABLES = ("product_reviews",)
 JSON_TABLES = ("inventory_staging", "store_locations_staging")
+# "documents": a file is one document, or one a line; "lines": always one a line, so that large files split.
+JSON_LAYOUT = {"inventory_staging": "documents", "store_locations_staging": "documents"}
 BRONZE_TABLES = (*CSV_SCHEMAS, *RAW_LINE_TABLES, *JSON_TABLES)
 
 # File name of each Bronze table under the landing folder.

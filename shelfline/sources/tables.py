@@ -22,18 +22,35 @@ def replace_table(df: DataFrame, name: str, comment: str | None = None, columns:
     """Create or replace a table from a query and return it as written.
 
     The rows go to a new table that then takes the name, so the query may read the table it replaces, and readers
-    never see half of it.
+    never see half of it. The old table steps aside until the new one has its name; a run that stops in between leaves
+    a complete copy, which ``recover_table`` puts back at the start of the next run.
     """
     spark = df.sparkSession
-    staged = f"{name}__next"
+    staged, aside = f"{name}__next", f"{name}__old"
+    recover_table(spark, name)
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
     df.write.format("parquet").saveAsTable(staged)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
     describe(spark, name, comment, columns)
     return spark.table(name)
 
 
+def recover_table(spark: SparkSession, name: str) -> None:
+    """Undo a swap that stopped halfway: without ``name``, its old copy is put back; with it, the old copy is dropped.
+
+    The old table steps aside only once the new one is complete, and the new one is written again by the rerun.
+    """
+    aside = f"{name}__old"
+    if spark.catalog.tableExists(aside):
+        if spark.catalog.tableExists(name):
+            spark.sql(f"DROP TABLE {aside}")
+        else:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+
+
 def describe(
     spark: SparkSession, name: str, comment: str | None = None, columns: Mapping[str, str] | None = None
 ) -> None:

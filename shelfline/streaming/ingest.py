@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.sources import files, schemas
@@ -33,17 +34,20 @@ def load_new_files(
 ) -> StreamingQuery:
     """Append the not yet loaded files of ``landing`` to the Parquet folder ``target`` and stop.
 
-    Lines that do not fit keep their text in ``_bad``; ``files.accepted`` and ``files.rejects`` tell them apart.
+    Records that do not fit keep their text in ``_bad``; ``files.accepted`` and ``files.rejects`` tell them apart. A folder
+    of such targets, one named after each table, opens with ``Lakehouse.from_loaded``.
     """
     if table in schemas.CSV_SCHEMAS:
-        reader = spark.readStream.schema(files.with_reject_column(schemas.CSV_SCHEMAS[table]))
-        lines = reader.options(**files.CSV_OPTIONS).csv(landing)
+        reader = spark.readStream.schema(files.text_schema(schemas.CSV_SCHEMAS[table]))
+        rows = files.parsed(reader.options(**files.CSV_OPTIONS).csv(landing), table)
     elif table in schemas.RAW_LINE_TABLES:
-        lines = spark.readStream.schema("raw_line string").options(**files.RAW_LINE_OPTIONS).csv(landing)
+        rows = spark.readStream.schema("raw_line string").options(**files.RAW_LINE_OPTIONS).csv(landing)
+        rows = rows.withColumn(files.BAD, F.lit(None).cast("string"))
     else:
-        lines = spark.readStream.text(landing, wholetext=True).withColumnRenamed("value", "raw_text")
+        whole = schemas.JSON_LAYOUT[table] != "lines"
+        rows = files.json_documents(spark.readStream.text(landing, wholetext=whole))
     return (
-        lines.writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint_folder(spark, _load_name(table, landing, target), checkpoints))
         .trigger(availableNow=True)
