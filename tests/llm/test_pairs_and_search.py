@@ -4,10 +4,8 @@ import math
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from shelfline.llm import decontamination, simhash, topk
 from shelfline.llm.common import components
