@@ -3,9 +3,9 @@
 Texts and items are lower-cased and split into words at white space, control characters and ASCII punctuation; shingles are
 runs of 5 words. For an item of n words, the windows of a document are its runs of n words. A window whose weighted shingles
 are at least ``SIMILARITY`` like the item's holds that share of shingles that some item has; windows that do not are
-passed over, which loses nothing. The others get a SimHash of 64 bits. Item fingerprints stand in an index of 8 blocks of 8
-bits; looking up each block and its 8 one-bit neighbours finds every fingerprint within ``RADIUS`` = 15 bits, as at most
-15 differing bits leave one block with at most one. Candidates are then verified by the exact weighted similarity: the sum
+passed over, which loses nothing. The others get a SimHash of 64 bits. Item fingerprints stand in an index of 10 blocks of 6 or
+7 bits; looking up each block and its one-bit neighbours finds every fingerprint within ``RADIUS`` = 19 bits, as at most
+19 differing bits leave one block with at most one. Candidates are then verified by the exact weighted similarity: the sum
 over shingles of the smaller number of occurrences by that of the larger.
 
 Only the items travel: they are taken in blocks of at most ``ITEMS`` items and ``ITEM_WORDS`` words, one pass over the
@@ -28,7 +28,7 @@ from shelfline.llm.words import Words, chunks, grams
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 15
+RADIUS = 19
 ITEMS = 20_000
 ITEM_WORDS = 1_000_000
 
@@ -36,6 +36,8 @@ ITEM_WORDS = 1_000_000
 GAPS = np.zeros(256, dtype=bool)
 GAPS[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 
+#: (first bit, width) of each block of a fingerprint.
+PARTS = [(7 * b, 7) for b in range(4)] + [(28 + 6 * b, 6) for b in range(6)]
 _BITS = np.arange(64, dtype=np.uint64)
 
 
@@ -87,10 +89,10 @@ class Items:
     @staticmethod
     def _index(prints: np.ndarray) -> list[dict[int, np.ndarray]]:
         blocks = []
-        for b in range(8):
+        for low, width in PARTS:
             table = defaultdict(list)
-            for i, value in enumerate(((prints >> np.uint64(8 * b)) & np.uint64(255)).tolist()):
-                for near in (value, *(value ^ (1 << j) for j in range(8))):
+            for i, value in enumerate(((prints >> np.uint64(low)) & np.uint64((1 << width) - 1)).tolist()):
+                for near in (value, *(value ^ (1 << j) for j in range(width))):
                     table[near].append(i)
             blocks.append({k: np.array(v) for k, v in table.items()})
         return blocks
@@ -131,8 +133,8 @@ class Items:
                 some = starts[at : at + 4096]
                 for s, fp in zip(some.tolist(), self._fingerprints(shingles, some, count).tolist(), strict=True):
                     near = set()
-                    for b in range(8):
-                        near.update(index[b].get((fp >> (8 * b)) & 255, ()))
+                    for block, (low, width) in zip(index, PARTS, strict=True):
+                        near.update(block.get((fp >> low) & ((1 << width) - 1), ()))
                     for i in near:
                         if (fp ^ int(prints[i])).bit_count() > RADIUS:
                             continue

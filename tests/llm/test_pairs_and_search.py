@@ -124,7 +124,7 @@ def test_decontamination_is_brute_force(spark, benchmark):
             if best[0] >= 0.8:
                 expected[i, item, -best[1], len(x), round(best[0], 6)] += 1
     found = Counter(tuple(r) for r in decontamination.decontamination(docs, benchmark).collect())
-    # Radius 15 may miss a window just over the threshold; none of these is.
+    # The radius may miss a window just over the threshold; none of these is.
     assert found == expected and {k[0] for k in found} == {1, None, 6, 7, 9}
     left = decontamination.clean(docs, benchmark)
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [2, 3, 4, 5, 8]
@@ -149,9 +149,9 @@ def test_index_finds_all_within_radius():
     for i, p in enumerate(prints.tolist()):
         for _ in range(30):
             q = p
-            for b in pick.choice(64, 15, replace=False).tolist():
+            for b in pick.choice(64, decontamination.RADIUS, replace=False).tolist():
                 q ^= 1 << b
-            assert any(i in index[b].get((q >> (8 * b)) & 255, ()) for b in range(8))
+            assert any(i in block.get((q >> low) & ((1 << width) - 1), ()) for block, (low, width) in zip(index, decontamination.PARTS, strict=True))
 
 
 # Top-k search
