@@ -104,6 +104,34 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
+# Windows of 13 words that start in a smaller document too; every word under one goes.
+ORACLE_SQL["op8_substring_dedup"] = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 12, 0) + 1)) AS i FROM t),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM starts),
+judged AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) < doc_id AS repeated FROM windows),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM judged WHERE repeated)),
+words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM t),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, count(gone.p) AS n_removed,
+    coalesce(string_agg(x, ' ' ORDER BY words.p) FILTER (WHERE gone.p IS NULL), '') AS text
+  FROM words LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+ORACLE_SQL["op9_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE_SQL)
