@@ -64,7 +64,7 @@ def interval_join(
         condition &= points[left] == F.col(f"_on{position}")
         helpers.append(f"_on{position}")
     if how == "left_anti":
-        return points.join(keyed.select(*helpers).distinct(), condition, how)
+        return points.join(keyed.select(*helpers).distinct().hint("merge"), condition, how)
     shared = [name for name in on.values() if name in points.columns]
     return points.join(keyed.drop(*shared).hint("merge"), condition, how).drop(*helpers)
 
@@ -138,8 +138,11 @@ def range_visitors(
 ) -> DataFrame:
     """Exact distinct visitors within each distinct range, without pairing visitors with ranges.
 
-    A visitor counts on the first visit inside the range, which is the visit whose previous one lies before the
-    range starts. So visits shrink to counts per (key, day, previous day), a table limited by the calendar.
+    Of the days a visitor came within a range, all but the first have the previous visit within the range too. So the
+    visitors are the visits of the range's days (one a visitor and day) less the visits whose previous one also lies
+    within. Those are counted by previous day: for each day of the range, the visits up to the range's end that
+    followed a visit on that day, read from a running sum. Rows grow with the days of the ranges and with the
+    distinct (key, day, previous day), not with their product.
     """
     keys = [*on, start, end]
     daily = visits.select(*on, F.col(day).alias("_day"), visitor).where(F.col(visitor).isNotNull()).distinct()
@@ -150,10 +153,17 @@ def range_visitors(
         .agg(F.count("*").alias("_arrivals"))
     )
     days = _range_days(ranges, keys, start, end)
-    first_inside = F.col("_previous").isNull() | (F.col("_previous") < F.col(start))
-    return (
-        days.join(arrivals, [*on, "_day"], "inner")
-        .where(first_inside)
-        .groupBy(*keys)
-        .agg(F.sum("_arrivals").alias(name))
+    per_day = arrivals.groupBy(*on, "_day").agg(F.sum("_arrivals").alias("_arrivals"))
+    came = days.join(per_day, [*on, "_day"], "inner").groupBy(*keys).agg(F.sum("_arrivals").alias("_came"))
+
+    bounds = {start, end}
+    followed = arrivals.where(F.col("_previous").isNotNull()).select(
+        *on, F.col("_previous").alias("_on"), F.col("_day").alias("_at"), "_arrivals", *(F.lit(None).cast("date").alias(c) for c in sorted(bounds))
     )
+    asked = days.select(*on, F.col("_day").alias("_on"), F.col(end).alias("_at"), F.lit(0).cast("bigint").alias("_arrivals"), *sorted(bounds))
+    # Visits on the last day count, as equal days share a frame.
+    so_far = Window.partitionBy(*on, "_on").orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    again = followed.unionByName(asked).withColumn("_again", F.sum("_arrivals").over(so_far)).where(F.col(start).isNotNull())
+    again = again.groupBy(*keys).agg(F.sum("_again").alias("_again"))
+    # Inner: every range of ``came`` asked for each of its days.
+    return came.join(again, keys, "inner").select(*keys, (F.col("_came") - F.col("_again")).alias(name))

@@ -7,23 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets the value range is cut into; only their totals meet in one task.
+# Least number of buckets the value range is cut into; only their totals meet in one task.
 BUCKETS = 64
 
 
+def _buckets(df: DataFrame) -> int:
+    """As many buckets as the session has shuffle partitions, so that the work spreads over the cluster."""
+    return max(BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def running_counts(df: DataFrame, value: str) -> DataFrame:
     """Distinct values with their row count, the rows sorting before them and all rows: (value, rows, below, total).
 
     NULL sorts last. Equal rows are merged first, so a common value is one row. The values are cut at approximate
     quantiles and accumulated bucket by bucket; the bucket totals, one row a bucket, give each bucket its start.
     """
+    buckets = _buckets(df)
     counts = df.groupBy(value).agg(F.count("*").alias("rows")).withColumn("_at", F.col(value).cast("double"))
-    fractions = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
-    cuts = counts.agg(F.percentile_approx("_at", fractions, 20 * BUCKETS)).scalar()
+    fractions = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    cuts = counts.agg(F.percentile_approx("_at", fractions, 20 * buckets)).scalar()
     # Never NULL, or the join below would test the bucket of every row before equal rows are merged.
     smaller = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col("_at"))), F.lit(0))
     bucketed = counts.withColumn("_cuts", cuts).withColumn(
-        "_bucket", F.when(F.col("_at").isNull(), BUCKETS).otherwise(smaller)
+        "_bucket", F.when(F.col("_at").isNull(), buckets).otherwise(smaller)
     )
     totals = bucketed.groupBy("_bucket").agg(F.sum("rows").alias("_rows"))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from shelfline.lakehouse import Lakehouse
-from shelfline.plans import gold, silver
-from shelfline.sources.tables import clustered, replace_table
+from shelfline.plans import explore, gold, quality, silver
+from shelfline.sources import schemas
+from shelfline.sources.tables import clustered, register_view, replace_table
 
 # Table comments.
 COMMENTS = {
@@ -31,15 +32,30 @@ COLUMN_COMMENTS = {
     }
 }
 
+# Views for SQL users: name and the plan behind it.
+VIEWS = {
+    "business_dashboard": explore.business_dashboard,
+    "sales_analysis_export": explore.sales_analysis_export,
+    "monthly_report_data": explore.monthly_report,
+    "daily_sales_summary": gold.daily_sales_summary,
+    "v_daily_region_sales": gold.daily_region_sales,
+    "v_current_promotions": quality.current_promotions,
+    "v_promotion_performance_summary": quality.promotion_status_summary,
+    "v_top_performing_campaigns": quality.top_performing_campaigns,
+}
+
 
 def build(lake: Lakehouse, prefix: str = "") -> None:
-    """Write every Silver and Gold table to databases ``silver`` and ``gold`` and serve them from there.
+    """Write every Bronze, Silver and Gold table to databases of these names, serve them from there, register the views.
 
-    Written tables cut the lineage: a lost executor costs a re-read, not a re-run of the cleaning.
+    Written tables cut the lineage: a lost executor costs a re-read, not a re-run of the cleaning. The views are temporary
+    ones of the session, over the written tables.
     """
     spark = lake.spark
-    for layer in ("silver", "gold"):
+    for layer in ("bronze", "silver", "gold"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}")
+    for name in schemas.BRONZE_TABLES:
+        lake.use("bronze", name, replace_table(lake.bronze(name), f"{prefix}bronze.{name}"))
     for name in silver.TABLES:
         table = replace_table(lake.silver(name), f"{prefix}silver.{name}", COMMENTS[name])
         lake.use("silver", name, table)
@@ -47,3 +63,5 @@ def build(lake: Lakehouse, prefix: str = "") -> None:
         laid_out = clustered(lake.gold(name), columns, spread_by)
         table = replace_table(laid_out, f"{prefix}gold.{name}", COMMENTS[name], COLUMN_COMMENTS.get(name))
         lake.use("gold", name, table)
+    for name, plan in VIEWS.items():
+        register_view(plan(lake), name)

@@ -107,6 +107,11 @@ def lake_of(spark: SparkSession, folder: str) -> Lakehouse:
     return _lakes[key]
 
 
+def forget() -> None:
+    """Drop the shared definitions, so that the next query plans anew (files may have grown meanwhile)."""
+    _lakes.clear()
+
+
 def _run(plan: Plan, spark: SparkSession, folder: str) -> DataFrame:
     return present(plan(lake_of(spark, folder)))
 
