@@ -524,6 +524,7 @@ def stock_sales_satisfaction(lake: Lakehouse) -> DataFrame:
     )
     repeats = c("items") * F.greatest(F.lit(1), F.coalesce("reviews", F.lit(0)))
     level, rating, total = c("stock_level"), c("avg_product_rating"), c("total_sales")
+    # The insights.
     insight = (
         F.when((level == "Critique") & (rating > 4), "ALERTE: Bon produit mais stock critique")
         .when((level == "Élevé") & total.isNull(), "ALERTE: Surstock produit non vendu")
@@ -583,6 +584,7 @@ def business_dashboard(lake: Lakehouse) -> DataFrame:
         .agg(F.sum(c("amount").cast(WIDE)).alias("revenue"))
         .agg((F.avg(F.when(c("budget") > 0, ratio(c("revenue"), c("budget")))) * 100).alias("roi"))
     )
+    # The names of the indicators.
     sources = [
         (volume, {"revenue": "CA Total", "count": "Nombre transactions", "ticket": "Panier moyen"}),
         (_sold(lake).agg(F.count_distinct("entity").alias("buyers")), {"buyers": "Clients uniques"}),

@@ -98,6 +98,7 @@ def sales_tests(lake: Lakehouse) -> DataFrame:
         F.sum(raised * campaigns).alias("net"),
         F.sum(F.when(c("sale_date") > lake.today, sales_count * c("repeats")).otherwise(0)).alias("future"),
     )
+    # Names of the tests and what they report.
     return verdicts(
         counts,
         {
@@ -135,6 +136,7 @@ def promotion_tests(lake: Lakehouse) -> DataFrame:
         F.count_if(c("start_date") > c("end_date")).alias("dates"),
         F.count_if((roi > 10000) | (roi < -10000)).alias("roi"),
     )
+    # Names of the tests and what they report.
     return verdicts(
         counts,
         {
@@ -295,6 +297,7 @@ def marketing_tests(lake: Lakehouse) -> DataFrame:
         F.count_if(c("campaign_budget") < 0).alias("budget"),
         F.count_if((c("actual_conversion_rate") > 100) | (c("target_conversion_rate") > 100)).alias("conversion"),
     )
+    # Names of the tests and what they report.
     return verdicts(
         counts,
         {
