@@ -1,16 +1,18 @@
 """Removal of repeated word passages by de Bruijn compaction.
 
-The k-mers (k consecutive words) of all documents are the edges of a graph whose nodes are runs of k - 1 words. Only edges
-that occur in two documents matter, so edges come in two steps: of each window of k words the smallest hash of its
-``MINIMIZER``-word runs is its minimizer; equal windows have equal minimizers, so a window whose minimizer is found in one
-document alone cannot repeat and its edge is never shuffled. The remaining edges are grouped; each keeps its first source
-coordinate, the smallest (document, position). Edges join on their nodes; where a node has one edge in and one out and
-the source coordinates follow each other, the path compacts into one unitig. Occurrences are read against the unitigs and
-verified by their coordinates: a span is a stretch whose positions and path offsets advance together. The words under
-the spans of an edge whose first source document is smaller are removed.
-
-Edges and nodes are named by 128 and 64 bits of hash; a document is its doc_id and a hash of its text, so repeated ids
-with different texts stay apart. A document's own rows are never gathered beyond the document's length.
+The k-mers (k consecutive words) of all documents are the edges of a graph whose nodes are runs of k - 1 words. Of each
+k-mer the smallest hash among its ``MINIMIZER``-word runs is its minimizer; equal k-mers have equal minimizers. The
+neighbouring edges of a document with one minimizer form a path piece. Pieces whose minimizer only one document has cannot
+repeat and are dropped before any edge is made.
+
+Pieces that are equal as a whole compact: one join gives every copy the source coordinate (document, position) of the
+first. A path that branches inside a piece makes unequal pieces with one minimizer; these fall apart into their edges,
+which are joined in the same way, each with its own first source coordinate. Pieces and edges of a document then
+compact into spans where their positions and their source positions advance together, which verifies long repeats. The
+words under spans whose source document has a smaller id are removed.
+
+Pieces and edges are named by their minimizer's 64 bits of hash and 64 or 48 more of their own; a document is its doc_id and a hash of its text, so repeated ids with
+different texts stay apart. A document's own rows are never gathered beyond the document's length.
 """
 
 from __future__ import annotations
@@ -22,11 +24,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import stored
-from shelfline.llm.words import Words, chunks, grams
+from shelfline.llm.common import discard, stored
+from shelfline.llm.words import Words, chunks, grams, stretches
 
 K = 13
 MINIMIZER = 4
+_EDGE = 6  # bytes of an edge's own hash
 
 
 def _minimizers(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,90 +68,113 @@ def _selected(k: int):
     return run
 
 
-def _edges(k: int):
-    """Edges of the windows whose minimizer position is listed in ``places``."""
+def _pieces(k: int):
+    """Path pieces whose minimizer position is listed in ``places``, with the hashes of their edges."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, rids = batch["doc_id"].to_numpy(), batch["rid"].to_numpy()
-            listed = list(batch["places"])
+            ids, rids, listed = batch["doc_id"].to_numpy(), batch["rid"].to_numpy(), list(batch["places"])
             for at, part in chunks(list(batch["text"])):
                 words = Words(part)
-                window, places, _ = _minimizers(words, k)
+                window, places, runs = _minimizers(words, k)
+                if not len(window):
+                    continue
                 wanted = np.zeros(len(words.start) + 1, dtype=bool)
                 for i in range(len(part)):
                     wanted[words.first[i] + np.asarray(listed[at + i], dtype=np.int64)] = True
-                window = window[wanted[places]]
-                h = words.hashes()
-                doc = words.doc[window]
-                node = grams(h, k - 1, seed=7)
+                begin = np.flatnonzero(np.append(True, (places[1:] != places[:-1]) | (window[1:] != window[:-1] + 1)))
+                count = np.diff(np.append(begin, len(window)))
+                use = wanted[places[begin]]
+                begin, count = begin[use], count[use]
+                first, h = window[begin], words.hashes()
+                doc = words.doc[first]
+                raw = grams(h, k).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_EDGE].tobytes()
                 yield pd.DataFrame(
                     {
-                        "e1": grams(h, k)[window].view(np.int64),
-                        "e2": grams(h, k, seed=11)[window].view(np.int64),
-                        "tail": node[window].view(np.int64),
-                        "head": node[window + 1].view(np.int64) if len(window) else np.zeros(0, np.int64),
+                        "h": runs[places[begin]].view(np.int64),
+                        "p": stretches(h, first, first + count + k - 1).view(np.int64),
                         "doc_id": ids[at + doc],
                         "rid": rids[at + doc],
-                        "pos": (window - words.first[doc]).astype(np.int32),
+                        "pos": (first - words.first[doc]).astype(np.int32),
+                        "n": count.astype(np.int32),
+                        "edges": [raw[_EDGE * i : _EDGE * (i + c)] for i, c in zip(first.tolist(), count.tolist(), strict=True)],
                     }
                 )
 
     return run
 
 
+def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The edges of path pieces, one row each."""
+    for batch in batches:
+        count = batch["n"].to_numpy()
+        raw = np.frombuffer(b"".join(batch["edges"]), dtype=np.uint8).reshape(-1, _EDGE)
+        edge = np.zeros((len(raw), 8), dtype=np.uint8)
+        edge[:, :_EDGE] = raw
+        edge = edge.reshape(-1).view("<i8")
+        offset = np.arange(len(edge)) - np.repeat(np.cumsum(count) - count, count)
+        yield pd.DataFrame(
+            {
+                "h": np.repeat(batch["h"].to_numpy(), count),
+                "e": edge,
+                "doc_id": np.repeat(batch["doc_id"].to_numpy(), count),
+                "rid": np.repeat(batch["rid"].to_numpy(), count),
+                "pos": (np.repeat(batch["pos"].to_numpy(), count) + offset).astype(np.int32),
+            }
+        )
+
+
 def _identified(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("rid"), text.alias("text"))
+    rid = F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), rid.alias("rid"), text.alias("text"))
+
+
+def _firsts(rows: DataFrame, name: str) -> DataFrame:
+    """One row for each piece or edge: its first source coordinate."""
+    return rows.groupBy("h", name).agg(F.min(F.struct("doc_id", "rid", "pos")).alias("first"))
 
 
 def repeated_spans(docs: DataFrame, k: int = K) -> DataFrame:
     """(doc_id, rid, start, length, source): stretches of windows that also start in the smaller document ``source``.
 
-    ``start`` and ``length`` count windows, so a span covers ``length + k - 1`` words. Spans of one path through the graph.
+    ``start`` and ``length`` count windows, so a span covers ``length + k - 1`` words.
     """
     rows = _identified(docs).where("doc_id is not null and text is not null")
-    chosen = rows.mapInPandas(_selected(k), "h long, doc_id long, rid long, pos int")
+    chosen = rows.mapInPandas(_selected(k), "h long, doc_id long, rid int, pos int")
     shared = chosen.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     shared = stored(shared.select("h"))
     places = chosen.join(shared, "h").groupBy("doc_id", "rid").agg(F.collect_set("pos").alias("places"))
     candidates = rows.dropDuplicates(["doc_id", "rid"]).join(places, ["doc_id", "rid"])
-    edges = stored(
-        candidates.mapInPandas(_edges(k), "e1 long, e2 long, tail long, head long, doc_id long, rid long, pos int")
+    kinds = "h long, p long, doc_id long, rid int, pos int, n int, edges binary"
+    pieces = stored(candidates.mapInPandas(_pieces(k), kinds))
+    discard(shared)
+
+    firsts = stored(_firsts(pieces, "p"))
+    whole = pieces.drop("edges").join(firsts, ["h", "p"]).where("first.doc_id < doc_id")
+    whole = stored(whole.select("doc_id", "rid", "pos", "n", "first"))
+    # Unequal pieces with one minimizer: what is no copy of a smaller document's piece is compared edge by edge.
+    branching = firsts.groupBy("h").agg(F.min("first.doc_id").alias("low"), F.max("first.doc_id").alias("high")).where("low < high")
+    branching = firsts.join(branching.select("h"), "h").select("h", "p", F.col("first.doc_id").alias("source"))
+    apart = pieces.join(branching, ["h", "p"]).where("source = doc_id").select("h", "doc_id", "rid", "pos", "n", "edges")
+    edges = stored(apart.mapInPandas(_edges, "h long, e long, doc_id long, rid int, pos int"))
+    discard(pieces, firsts)
+    single = edges.join(_firsts(edges, "e"), ["h", "e"]).where("first.doc_id < doc_id")
+    single = stored(single.select("doc_id", "rid", "pos", F.lit(1).alias("n"), "first"))
+    discard(edges)
+
+    # Compaction to spans: pieces and edges with one source whose positions advance together.
+    copies = whole.union(single).select(
+        "doc_id", "rid", "pos", "n", F.col("first.doc_id").alias("source"), F.col("first.rid").alias("source_rid"), (F.col("pos") - F.col("first.pos")).alias("shift")
     )
-    first = edges.groupBy("e1", "e2").agg(
-        F.min(F.struct("doc_id", "rid", "pos")).alias("first"),
-        F.max("doc_id").alias("high"),
-        F.first("tail").alias("tail"),
-        F.first("head").alias("head"),
-    )
-    repeated = first.where("first.doc_id < high").select(
-        "e1", "e2", "tail", "head", F.col("first.doc_id").alias("source"), F.col("first.rid").alias("source_rid"), F.col("first.pos").alias("source_pos")
-    )
-    repeated = stored(repeated)
-    # Nodes with one edge in and one out; a unitig breaks at all others and where the source coordinates jump.
-    leaving = repeated.groupBy(F.col("tail").alias("node")).agg(F.count(F.lit(1)).alias("leaving"))
-    entering = repeated.groupBy(F.col("head").alias("node")).agg(F.count(F.lit(1)).alias("entering"))
-    plain = leaving.join(entering, "node").where("leaving = 1 and entering = 1").select("node")
-    marked = repeated.join(plain.select(F.col("node").alias("tail"), F.lit(True).alias("plain")), "tail", "left")
-    along = Window.partitionBy("source", "source_rid").orderBy("source_pos")
-    fresh = F.when(F.col("plain") & (F.col("source_pos") - F.lag("source_pos").over(along) == 1), 0).otherwise(1)
-    unitigs = marked.withColumn("fresh", fresh).withColumn("unitig", F.sum("fresh").over(along))
-    unitigs = stored(unitigs.select("e1", "e2", "source", "source_rid", "source_pos", "unitig"))
-    # Occurrences outside the first source, compacted to spans whose positions and path offsets advance together.
-    here = edges.select("e1", "e2", "doc_id", "rid", "pos").join(unitigs, ["e1", "e2"]).where("source < doc_id")
-    spans = here.groupBy("doc_id", "rid", "source", "source_rid", "unitig", (F.col("pos") - F.col("source_pos")).alias("shift"))
-    spans = spans.agg(F.sort_array(F.collect_list("pos")).alias("at"))
-    return spans.select("doc_id", "rid", "source", F.explode(_stretches("at")).alias("s")).select(
-        "doc_id", "rid", "source", F.col("s.start").alias("start"), F.col("s.length").alias("length")
-    )
-
-
-def _stretches(column: str):
-    """Runs of consecutive numbers in a sorted array: array of (start, length)."""
-    begin = f"filter({column}, (x, i) -> i = 0 or x <> {column}[i - 1] + 1)"
-    end = f"filter({column}, (x, i) -> i = size({column}) - 1 or {column}[i + 1] <> x + 1)"
-    return F.expr(f"zip_with({begin}, {end}, (b, e) -> struct(b as start, e - b + 1 as length))")
+    path = Window.partitionBy("doc_id", "rid", "source", "source_rid", "shift").orderBy("pos")
+    fresh = F.when(F.col("pos") <= F.lag(F.col("pos") + F.col("n")).over(path), 0).otherwise(1)
+    spans = copies.withColumn("fresh", fresh).withColumn("span", F.sum("fresh").over(path))
+    spans = spans.groupBy("doc_id", "rid", "source", "source_rid", "shift", "span")
+    spans = spans.agg(F.min("pos").alias("start"), (F.max(F.col("pos") + F.col("n")) - F.min("pos")).alias("length"))
+    spans = stored(spans.select("doc_id", "rid", "source", "start", "length"))
+    discard(whole, single)
+    return spans
 
 
 def _kept(k: int):

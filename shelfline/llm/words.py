@@ -67,16 +67,11 @@ def grams(h: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     return mix(out)
 
 
-_STRETCH = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9FB21C651E98DF25))
-
-
-def stretches(h: np.ndarray, start: np.ndarray, end: np.ndarray, variant: int) -> np.ndarray:
-    """Hash of the words of each stretch from ``start`` to before ``end``; two independent variants."""
-    base = _STRETCH[variant]
+def stretches(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the words of each stretch from ``start`` to before ``end``."""
     sums = np.zeros(len(h) + 1, dtype=np.uint64)
-    np.cumsum(mix(h + base) * _power(base, f"word{variant}", len(h)), out=sums[1:])
-    back = _power(np.uint64(pow(int(base), -1, 1 << 64)), f"back{variant}", len(h))
-    return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
+    np.cumsum(mix(h + _BASE) * _power(_BASE, "up", len(h)), out=sums[1:])
+    return mix((sums[end] - sums[start]) * _power(_BACK, "down", len(h))[start] + (end - start).astype(np.uint64))
 
 
 def chunks(texts: list[str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
