@@ -69,6 +69,17 @@ def rows_of(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     return docs.join(keys, docs["doc_id"].cast("long").eqNullSafe(keys["doc_id"]) & (F.xxhash64(text) == keys["rid"]), how)
 
 
+def sample_of(rows: DataFrame, k: int, *keys: str) -> DataFrame:
+    """The ``k`` rows with the smallest hashes of ``keys``, or all if there are fewer.
+
+    Rows are counted first, so that only about k of them, from all partitions together, are put in order. Where many rows
+    share keys, there may be fewer than k.
+    """
+    share = min(1.0, (1.2 * k + 100) / max(1, rows.count()))
+    h = F.shiftrightunsigned(F.xxhash64(*keys), 1)
+    return rows.where(h <= min(2**63 - 1, int(share * 2**63))).orderBy(h, *keys).limit(k)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: one row (node, component) for each node with an edge.
 

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.llm.common import sample_of
+
 LABELLED = 2_000
 WORD_RANGE = (0.2, 2.0)
 TAG_RANGE = (-4.0, -0.05)
@@ -140,13 +142,6 @@ def _tag(kind: str, name: str) -> str:
     return ("/" if kind == "close" else "") + name
 
 
-def content_element(page: str) -> bool:
-    """Whether the page names exactly one content element, and so is labelled."""
-    return len(re.findall(r"<article\b", page, re.IGNORECASE)) == 1 or (
-        "<article" not in page.lower() and len(re.findall(r"<main\b", page, re.IGNORECASE)) == 1
-    )
-
-
 def kind_counts(pages: Iterator[str]) -> tuple[Counter, Counter]:
     """How often each kind of token occurs inside and outside the content of labelled pages."""
     within, without = Counter(), Counter()
@@ -226,19 +221,21 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
 
 
 def fitted_weights(pages: DataFrame, labelled: int = LABELLED) -> dict[str, float]:
-    """Weights from at most ``labelled`` labelled pages, those with the smallest hashes of their ids."""
-    shown = F.lower(F.col("html").cast("string"))
+    """Weights from the labelled pages of at most ``labelled`` ids, those with the smallest hashes."""
+    shown = F.regexp_replace(F.lower(F.col("html").cast("string")), r"(?s)<(script|style)\b.*?</\1\s*>|<!--.*?-->", "")
     articles = F.regexp_count(shown, F.lit(r"<article\b"))
     mains = F.regexp_count(shown, F.lit(r"<main\b"))
     good = pages.where((articles == 1) | ((articles == 0) & (mains == 1)))
-    sample = good.select(F.col("html").cast("string").alias("html"), F.xxhash64("page_id").alias("h")).orderBy("h", "html").limit(labelled)
+    # Ids first, so that no task gathers pages; ``labelled`` numbers are broadcast.
+    ids = sample_of(good.select("page_id").where("page_id is not null").distinct(), labelled, "page_id")
+    sample = good.join(F.broadcast(ids), "page_id", "left_semi").select(F.col("html").cast("string").alias("html"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         within, without = kind_counts(p for batch in batches for p in batch["html"])
         kinds = sorted(set(within) | set(without))
         yield pd.DataFrame({"kind": kinds, "a": [within[k] for k in kinds], "b": [without[k] for k in kinds]}).astype({"kind": object})
 
-    rows = sample.select("html").mapInPandas(count, "kind string, a long, b long").groupBy("kind").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()
+    rows = sample.mapInPandas(count, "kind string, a long, b long").groupBy("kind").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()
     return weights_of(Counter({r["kind"]: r["a"] for r in rows}), Counter({r["kind"]: r["b"] for r in rows}))
 
 
