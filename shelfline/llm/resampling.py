@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import identified, rows_of, stored
+from shelfline.llm.common import identified, rows_of, sample_of, stored
 from shelfline.llm.words import Words, chunks, grams
 
 BUCKETS = 1 << 20
@@ -82,7 +82,7 @@ def labelled_kinds(labels: DataFrame, limit: int = LABELLED) -> DataFrame:
     one = one.agg(F.min("quality").alias("quality"), F.coalesce(F.max("toxic"), F.lit(0)).alias("toxic"))
     kind = F.when(F.col("toxic") > 0, 2).when(F.col("quality") > 0, 1).otherwise(0)
     held = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1000)) < int(1000 * HELD_OUT)
-    return one.select("doc_id", kind.alias("kind"), held.alias("held")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    return sample_of(one.select("doc_id", kind.alias("kind"), held.alias("held")), limit, "doc_id")
 
 
 def ratios(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
