@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import stored
+from shelfline.llm.common import discard, stored
 
 MIN_LINES = 2
 
@@ -64,11 +64,13 @@ def repeated_windows(docs: DataFrame, depth: int = MIN_LINES) -> DataFrame:
 
     Copies of a row (equal doc_id and text) count once. ``rank`` orders the intervals of the suffix array.
     """
-    rows = _identified(docs).where("_id is not null and _text is not null").select("_id", "_rid", "_text").dropDuplicates(["_id", "_rid"])
+    rows = _identified(docs).where("_id is not null and _text is not null")
     lines = rows.select(F.col("_id").alias("doc"), F.col("_rid").alias("rid"), F.posexplode(F.split("_text", "\n")).alias("line", "s"))
-    # 128 bits name a line.
+    # 128 bits name a line; texts are not shuffled.
     suffixes = lines.select("doc", "rid", "line", F.xxhash64("s").alias("a"), F.xxhash64(F.lit(7), "s", F.length("s")).alias("b"))
+    suffixes = stored(suffixes.dropDuplicates(["doc", "rid", "line"]))
     found, have = _intervals(suffixes, ["a", "b"]), 1
+    discard(suffixes)
     while have < depth:
         step = min(have, depth - have)
         found, have = _intervals(_ahead(found, step), ["rank", "next"]), have + step
