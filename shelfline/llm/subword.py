@@ -26,7 +26,7 @@ from shelfline.llm.words import mix
 
 RATE = 0.1
 SEED = 7
-CHUNK_CHARACTERS = 1 << 19
+CHUNK_CHARACTERS = 1 << 17
 SPACE_SIGN = 0x2581
 _NONE = np.int32(2**31 - 1)
 
