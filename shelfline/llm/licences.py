@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import stored
+from shelfline.llm.common import sample_of, stored
 
 UNKNOWN = "unknown"
 FEATURES = 1 << 13
@@ -110,7 +110,8 @@ class Classifier:
         self.families = sorted(f for f in NAMES if f != UNKNOWN) + [UNKNOWN]
         number = F.array_position(F.array(*map(F.lit, self.families)), F.col("family")) - 1
         # The corpus sample: the paragraphs with the smallest hashes of their places, without those that hold a template.
-        some = lines.orderBy(F.xxhash64("doc_id", "paragraph"), "doc_id", "paragraph").limit(sample).select("text").distinct()
+        places = sample_of(lines.select("doc_id", "paragraph"), sample, "doc_id", "paragraph")
+        some = lines.join(F.broadcast(places), ["doc_id", "paragraph"], "left_semi").select("text").distinct()
         held = self._alike(some.withColumn("terms", terms(F.col("text"))).crossJoin(F.broadcast(templates(spark))))
         other = held.groupBy("text").agg(F.max("alike").alias("alike")).where(F.col("alike") < CONFIRMED)
         rows = _statements(spark).select("family", "text").union(other.select(F.lit(UNKNOWN), "text")).distinct()
