@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.llm import jaccard
 from shelfline.llm.common import components, identified, rows_of, stored
 
 SHINGLE = 3
@@ -176,13 +177,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The row with the smallest doc_id of each group of near duplicates, with all columns.
 
-    A group without any id, and of other groups the rows without one, stay. Of rows that repeat an id in one group one stays.
+    Groups are those of five-word shingles alike at 0.8 or more (``jaccard``), not those of the query. A group without any
+    id, and of other groups the rows without one, stay. Of rows that repeat an id in one group one stays.
     """
-    groups = stored(near_groups(docs))
-    gone = groups.where("doc_id <> component_id").select("doc_id", "rid").distinct()
-    again = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.collect_set("rid").alias("rids"))
-    again = stored(again.where("n > 1").select("doc_id", F.explode("rids").alias("rid")))
+    groups = stored(jaccard.groups(docs))
+    known = groups.where("doc_id is not null")
+    kept = known.groupBy("part").agg(F.min(F.struct("doc_id", "rid")).alias("kept"))
+    marked = known.join(kept, "part").withColumn("stays", F.struct("doc_id", "rid") == F.col("kept"))
+    rows = stored(marked.groupBy("doc_id", "rid", "stays").agg(F.count(F.lit(1)).alias("n")))
+    gone = rows.where("not stays").select("doc_id", "rid")
+    again = stored(rows.where("stays and n > 1").select("doc_id", "rid"))
     left = rows_of(docs, gone, "left_anti")
     if again.isEmpty():
         return left
-    return rows_of(left, again, "left_anti").unionAll(rows_of(left, again, "left_semi").dropDuplicates(["doc_id"]))
+    repeated = rows_of(left, again, "left_semi")
+    key, rid = "_one_of_each_id", "_one_of_each_rid"
+    repeated = repeated.withColumns({key: repeated["doc_id"].cast("long"), rid: F.xxhash64(repeated["text"].cast("string"))})
+    return rows_of(left, again, "left_anti").unionAll(repeated.dropDuplicates([key, rid]).drop(key, rid))
