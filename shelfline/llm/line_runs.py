@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from shelfline.llm.common import discard, stored
 
 MIN_LINES = 2
+WORD = r"[^\x20\x09-\x0D]"
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -42,12 +43,12 @@ def _placed(groups: DataFrame, keys: list[str]) -> DataFrame:
     return ranked.join(F.broadcast(before.select("slice", "before")), "slice").withColumn("place", F.col("before") + F.col("local"))
 
 
-def _intervals(suffixes: DataFrame, keys: list[str]) -> DataFrame:
+def _intervals(suffixes: DataFrame, keys: list[str], *carried: str) -> DataFrame:
     """Suffixes that share their ``keys`` with others: (doc, rid, line, rank, first), first being their first position."""
     groups = suffixes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "rid", "line")).alias("first"))
     repeated = _placed(groups.where("n > 1"), keys)
     found = suffixes.join(repeated.select(*keys, "place", "first"), keys)
-    return stored(found.select("doc", "rid", "line", F.col("place").alias("rank"), "first"))
+    return stored(found.select("doc", "rid", "line", F.col("place").alias("rank"), "first", *carried))
 
 
 def _ahead(suffixes: DataFrame, step: int) -> DataFrame:
@@ -64,40 +65,56 @@ def repeated_windows(docs: DataFrame, depth: int = MIN_LINES) -> DataFrame:
 
     Copies of a row (equal doc_id and text) count once. ``rank`` orders the intervals of the suffix array.
     """
+    return _windows(docs, depth)[1]
+
+
+def _windows(docs: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
+    """The repeated windows of one line, with ``word`` (whether the line holds one), and those of ``depth`` lines."""
     rows = _identified(docs).where("_id is not null and _text is not null")
     lines = rows.select(F.col("_id").alias("doc"), F.col("_rid").alias("rid"), F.posexplode(F.split("_text", "\n")).alias("line", "s"))
     # 128 bits name a line; texts are not shuffled.
-    suffixes = lines.select("doc", "rid", "line", F.xxhash64("s").alias("a"), F.xxhash64(F.lit(7), "s", F.length("s")).alias("b"))
+    names = (F.xxhash64("s").alias("a"), F.xxhash64(F.lit(7), "s", F.length("s")).alias("b"))
+    suffixes = lines.select("doc", "rid", "line", *names, F.col("s").rlike(WORD).alias("word"))
     suffixes = stored(suffixes.dropDuplicates(["doc", "rid", "line"]))
-    found, have = _intervals(suffixes, ["a", "b"]), 1
+    single = _intervals(suffixes, ["a", "b"], "word")
+    found, have = single, 1
     discard(suffixes)
     while have < depth:
         step = min(have, depth - have)
         found, have = _intervals(_ahead(found, step), ["rank", "next"]), have + step
-    return found
+    return single, found
 
 
-def repeated_runs(docs: DataFrame, depth: int = MIN_LINES) -> DataFrame:
-    """(doc, rid, start, length): the maximal runs of lines that are later copies of runs of at least ``depth`` lines."""
-    copies = repeated_windows(docs, depth).where("first <> struct(doc, rid, line)")
-    # Windows of one document; the next one joins if it starts before the last one's end.
+def repeated_runs(docs: DataFrame, depth: int = MIN_LINES, singles: bool = False) -> DataFrame:
+    """(doc, rid, start, length): the maximal runs of lines that are later copies of runs of at least ``depth`` lines.
+
+    ``singles``: later copies of one line that holds a word, too.
+    """
+    single, found = _windows(docs, depth)
+    later = "first <> struct(doc, rid, line)"
+    copies = found.where(later).select("doc", "rid", "line", (F.col("line") + depth).alias("end"))
+    if singles:
+        more = single.where(later).where("word").select("doc", "rid", "line", (F.col("line") + 1).alias("end"))
+        copies = copies.unionAll(more).groupBy("doc", "rid", "line").agg(F.max("end").alias("end"))
+    # Windows of one document; the next one joins if it starts before the end of all before, or there.
     order = Window.partitionBy("doc", "rid").orderBy("line")
-    fresh = F.when(F.col("line") - F.lag("line").over(order) <= depth, 0).otherwise(1)
-    runs = copies.select("doc", "rid", "line").withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order))
-    runs = runs.groupBy("doc", "rid", "run").agg(F.min("line").alias("start"), (F.max("line") - F.min("line") + depth).alias("length"))
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(F.col("line") <= before, 0).otherwise(1)
+    runs = copies.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order))
+    runs = runs.groupBy("doc", "rid", "run").agg(F.min("line").alias("start"), (F.max("end") - F.min("line")).alias("length"))
     return runs.select("doc", "rid", "start", "length")
 
 
-def marked(docs: DataFrame, depth: int = MIN_LINES) -> DataFrame:
+def marked(docs: DataFrame, depth: int = MIN_LINES, singles: bool = False) -> DataFrame:
     """(row, left, n_lines, n_removed): each row of ``docs`` as a struct, the text left of it, its lines and those deleted.
 
     Lines end at line feeds and are compared exactly. Documents are ordered by doc_id; of rows with the same doc_id and
     different texts the order is that of a hash of the text. Null text: no lines, stays null. Empty text: one empty line,
     which alone is no run. Null doc_id: the row is kept whole and is no source. Repeated rows are treated alike. Fewer
-    than ``depth`` lines: kept whole.
+    than ``depth`` lines: kept whole, but for ``singles``: later copies of one line that holds a word go, too.
     """
     rows = _identified(docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), "doc_id", "text"))
-    runs = repeated_runs(docs.select("doc_id", "text"), depth)
+    runs = repeated_runs(docs.select("doc_id", "text"), depth, singles)
     spans = runs.groupBy("doc", "rid").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("spans"))
     joined = rows.join(spans, (F.col("_id") == F.col("doc")) & (F.col("_rid") == F.col("rid")), "left")
     lines = joined.withColumn("lines", F.split("_text", "\n"))
@@ -115,11 +132,12 @@ def marked(docs: DataFrame, depth: int = MIN_LINES) -> DataFrame:
 
 
 def without_copies(docs: DataFrame, depth: int = MIN_LINES) -> DataFrame:
-    """``docs`` with later copies of repeated line runs deleted from ``text``, all its columns kept.
+    """``docs`` with later copies of repeated lines deleted from ``text``, all its columns kept.
 
-    Rows of which a run was deleted and no word is left go.
+    Single lines that hold a word, and runs of at least ``depth`` lines, blank ones included. Rows of which a line was
+    deleted and no word is left go.
     """
-    out = marked(docs, depth).where((F.col("n_removed") == 0) | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
+    out = marked(docs, depth, singles=True).where((F.col("n_removed") == 0) | F.col("left").rlike(WORD))
     return out.select(*(F.col("left").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 

@@ -199,6 +199,14 @@ def test_ranks_follow_the_suffix_order(spark):
     assert sorted(map(sorted, shared.values())) == [[("a", "c")], [("b", "a")]]
 
 
+def test_stage_removes_copies_of_single_lines(spark):
+    """Also without a repeated neighbour; blank lines only inside longer runs."""
+    rows = [(1, "one\n\ntwo\n\nthree"), (2, "other\ntwo\nmore"), (3, "two"), (4, "three\n\nfour"), (5, "new\n\n \none\n\ntwo\nlast\nlast")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in line_runs.without_copies(table).collect()}
+    assert left == {1: rows[0][1], 2: "other\nmore", 4: "\nfour", 5: "new\n\n \nlast"}
+
+
 def test_line_removal_keeps_columns(docs, no_docs):
     out = line_runs.without_copies(docs)
     assert out.columns == docs.columns
