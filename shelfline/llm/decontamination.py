@@ -8,6 +8,9 @@ passed over, which loses nothing. The others get a SimHash of 64 bits. Item fing
 19 differing bits leave one block with at most one. Candidates are then verified by the exact weighted similarity: the sum
 over shingles of the smaller number of occurrences by that of the larger.
 
+A document shorter than an item is itself the one window. It is compared with all items of that size that share a shingle,
+found by an exact index of their shingles, without fingerprints.
+
 Only the items travel: they are taken in blocks of at most ``ITEMS`` items and ``ITEM_WORDS`` words, one pass over the
 documents for each block, so what is broadcast is bounded whatever the size of the benchmark.
 """
@@ -68,6 +71,7 @@ class Items:
         words = Words([t.encode("utf-8", "surrogatepass") for t in folded(texts)], GAPS)
         h = words.hashes()
         self.groups: dict[int, tuple[list[int], list[np.ndarray], np.ndarray, list[dict[int, np.ndarray]]]] = {}
+        self.holders: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         sized = defaultdict(list)
         for i, item in enumerate(ids):
             own = h[words.first[i] : words.first[i + 1]]
@@ -78,6 +82,7 @@ class Items:
             bags = [b for _, b in members]
             prints = np.concatenate([_pack(_signs(b).sum(axis=0, keepdims=True)) for b in bags])
             self.groups[n] = ([i for i, _ in members], bags, prints, self._index(prints))
+            self.holders[n] = self._holders(bags)
             known[min(SHINGLE, n)] += bags
         self.known = {size: np.unique(np.concatenate(bags)) for size, bags in known.items()}
         self.marks = {}
@@ -97,6 +102,20 @@ class Items:
             blocks.append({k: np.array(v) for k, v in table.items()})
         return blocks
 
+    @staticmethod
+    def _holders(bags: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """All shingles of the items in order, and the item of each."""
+        every, owner = np.concatenate(bags), np.repeat(np.arange(len(bags), dtype=np.int32), [len(b) for b in bags])
+        order = np.argsort(every, kind="stable")
+        return every[order], owner[order]
+
+    def _sharing(self, n: int, shingles: np.ndarray) -> list[int]:
+        """The items of ``n`` words that have one of the shingles."""
+        every, owner = self.holders[n]
+        own = np.unique(shingles)
+        low, high = np.searchsorted(every, own), np.searchsorted(every, own, side="right")
+        return sorted({i for a, b in zip(low.tolist(), high.tolist(), strict=True) for i in owner[a:b].tolist()})
+
     def hits(self, shingles: np.ndarray, size: int) -> np.ndarray:
         """Which shingles some item has."""
         found = self.marks[size][(shingles & np.uint64(0x3FFFFF)).astype(np.int64)]
@@ -124,7 +143,15 @@ class Items:
         best: dict[int, tuple[float, int, int]] = {}
         for n, (ids, bags, prints, index) in self.groups.items():
             count = n - size + 1  # shingles a window
-            if min(SHINGLE, n) != size or count > len(shingles):
+            if min(SHINGLE, n) != size:
+                continue
+            if count > len(shingles):
+                least = (len(shingles) + count) * SIMILARITY / (1 + SIMILARITY)
+                if min(len(shingles), total[-1]) >= least - 1e-9:
+                    for i in self._sharing(n, shingles):
+                        alike = similarity(shingles, bags[i])
+                        if alike >= SIMILARITY and alike > best.get(ids[i], (0.0,))[0]:
+                            best[ids[i]] = (alike, 0, len(shingles) + size - 1)
                 continue
             # 2 x common / (2 x count) at least what the similarity needs.
             needed = int(np.ceil(count * 2 * SIMILARITY / (1 + SIMILARITY) - 1e-9))
@@ -176,6 +203,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, rid, item_id, first_word, n_words, similarity): the best window of each document and item it holds.
 
     Words are counted from 0 after folding. Null or empty texts and items without words hold nothing and match nothing.
+    A text of fewer words than the item is compared whole.
     A null doc_id stays null; repeated rows give repeated rows; ties go to the window of fewer words, then the first. An
     item_id with several texts is matched by each. ``rid`` is a hash of the text. Other columns are ignored.
     """

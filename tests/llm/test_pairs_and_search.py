@@ -137,6 +137,17 @@ def test_similar_windows_are_found(spark, benchmark):
     assert {r.doc_id for r in decontamination.matches(docs, benchmark).collect()} == {0, 1, 38, 39}
 
 
+def test_texts_shorter_than_the_item_are_compared_whole(spark, benchmark):
+    """prose(51, 18) is item 5 of 18 words, thus 14 shingles: without 1 or 2 words 13 or 12 of 14 are left, without 3 only 11."""
+    w, long = prose(51, 18).split(), ITEM.split()
+    rows = [(1, w[1:]), (2, w[:-1]), (3, w[1:-1]), (4, w[2:]), (5, w[3:]), (6, w[1:-2]), (7, long[:33]), (8, long[:32]), (9, [*long[:34], "other"]), (10, w[:3])]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id, r.first_word, r.n_words, round(r.similarity, 6)) for r in decontamination.matches(docs, benchmark).collect()}
+    expected = {(1, 5, 0, 17, 0.928571), (2, 5, 0, 17, 0.928571), (3, 5, 0, 16, 0.857143), (4, 5, 0, 16, 0.857143)}
+    assert found == expected | {(7, 1, 0, 33, round(29 / 36, 6)), (9, 1, 0, 35, round(30 / 37, 6))}
+    assert sorted(r.doc_id for r in decontamination.clean(docs, benchmark).collect()) == [5, 6, 8, 10]
+
+
 def test_decontamination_of_nothing(docs, no_docs, benchmark):
     assert decontamination.matches(no_docs, benchmark).collect() == []
     assert decontamination.clean(docs, benchmark.where("false")).count() == docs.count()
