@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import debruijn, decontamination, html_text, licences, line_runs, resampling, simhash, subword, token_counts, topk
+from shelfline.llm import (
+    debruijn,
+    decontamination,
+    html_text,
+    licences,
+    line_runs,
+    mixing,
+    periodic,
+    resampling,
+    simhash,
+    subword,
+    token_counts,
+    topk,
+    turn_trie,
+)
 from shelfline.llm.common import ship, table
 
 
@@ -57,6 +71,19 @@ def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licences.licences(table(spark, folder, "documents"))
 
 
+def op11_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(table(spark, folder, "documents"))
+
+
+def op12_turn_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_trie.prefix_trie(turn_trie.rebuilt(turn_trie.sequences(table(spark, folder, "conversations"))))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return periodic.digests(periodic.periodic(docs, periodic.planted(docs)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_line_dedup": op2_line_dedup,
@@ -68,6 +95,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_licences": op10_licences,
+    "op11_source_mix": op11_source_mix,
+    "op12_turn_trie": op12_turn_trie,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 
@@ -133,5 +163,39 @@ FROM s QUALIFY rank <= 10
 """
 
 
+# Every prefix of every rebuilt conversation, named by a digest; crc32 by its bitwise definition.
+ORACLE_SQL["op12_turn_trie"] = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT conv_id, conv_id - conv_id % 5 AS base, CAST(conv_id AS VARCHAR) AS s FROM t),
+crc AS (
+  SELECT conv_id, base, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(s) + 1), lambda i: ascii(s[i])::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))) AS c
+  FROM ids),
+h AS (SELECT conv_id, base, xor(c, 4294967295) % 9 AS h FROM crc),
+r AS (
+  SELECT h.conv_id, 0 AS part, pos, role, text FROM h JOIN t ON t.conv_id = h.base AND pos <= h
+  UNION ALL SELECT h.conv_id, 1, pos, role, text FROM h JOIN t ON t.conv_id = h.conv_id AND pos > h),
+d AS (SELECT conv_id, row_number() OVER w AS depth, strlen(text) AS size, string_agg(md5(role) || md5(text), '') OVER w AS path
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)),
+m AS (SELECT conv_id, depth, size, md5(path) AS k FROM d UNION ALL SELECT conv_id, 0, 0, '' FROM h),
+linked AS (
+  SELECT *, lag(k) OVER (PARTITION BY conv_id ORDER BY depth) AS up, lead(k) OVER (PARTITION BY conv_id ORDER BY depth) IS NULL AS final FROM m),
+nodes AS (
+  SELECT k, max(up) AS up, max(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n, (count(*) - 1) * max(size) AS own,
+    sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (WHERE final), '')) AS ends
+  FROM linked GROUP BY k),
+kids AS (SELECT up AS k, count(*) AS n_children FROM nodes WHERE up IS NOT NULL GROUP BY up),
+below AS (
+  SELECT m.k, count(*) FILTER (WHERE kids.k IS NULL) AS n_leaves, CAST(sum(own) AS BIGINT) AS saved_tokens
+  FROM nodes x JOIN m ON m.conv_id = x.conv_id AND m.depth <= x.depth LEFT JOIN kids ON kids.k = x.k GROUP BY m.k)
+SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, x.n AS n_convs, coalesce(n_children, 0) AS n_children,
+  n_leaves, saved_tokens, x.ends AS ends_sha256
+FROM nodes x LEFT JOIN nodes p ON p.k = x.up LEFT JOIN kids ON kids.k = x.k JOIN below ON below.k = x.k
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE_SQL)
