@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -12,19 +13,32 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir`` of the session, else one set here (local runs)."""
+    """The folder that all executors share: ``spark.checkpoint.dir`` of the session, else one set here (local runs only)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="shelfline-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+def _place(spark: SparkSession, path: str):
+    """The file system of ``path``, and the path, as the JVM has them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage, survives lost executors."""
+    """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    A table that nobody discards is deleted when the session's JVM ends.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    files, place = _place(spark, path)
+    files.deleteOnExit(place)
     # Shuffle files go when the driver's JVM collects what refers to them; a small idle driver may not do so for long.
     spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
@@ -35,8 +49,8 @@ def stored(df: DataFrame) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete tables that ``stored`` wrote and that nothing reads any more."""
     for df in tables:
-        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        files, place = _place(df.sparkSession, df.stored_at)
+        files.delete(place, True)
 
 
 _shipped: set[str] = set()

@@ -19,8 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm import jaccard
-from shelfline.llm.common import components, identified, rows_of, stored
+from shelfline.llm.common import components, discard, identified, rows_of, stored
 
 SHINGLE = 3
 RADIUS = 3
@@ -134,7 +133,7 @@ def _spanning(rows: pd.DataFrame) -> pd.DataFrame:
 
 def links(fps: DataFrame, tile: int = TILE) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of distinct ``fp`` at most 3 bits apart."""
-    rows = _anchor_rows(fps)
+    rows = _anchor_rows(fps.repartition("fp"))  # few small files make many rows
     sizes = rows.groupBy("anchor").agg(F.count_if("home").alias("homes"), F.count(F.lit(1)).alias("visitors"))
     large = stored(sizes.where(F.col("visitors") > tile))
     rows = rows.join(large, "anchor", "left")
@@ -150,11 +149,12 @@ def links(fps: DataFrame, tile: int = TILE) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, rid, fp, component_id) of every row of ``docs(doc_id, text)``.
+    """(doc_id, rid, fp, part, component_id) of every row of ``docs(doc_id, text)``.
 
-    component_id: smallest doc_id reachable over links of at most 3 bits. Null or empty text: fingerprint 0, linked like
-    any other. Null doc_id: takes part through its fingerprint, but is never a component_id unless no document of the
-    group has an id (then null). Repeated rows give repeated rows. ``rid`` is a hash of the text. Other columns are ignored.
+    component_id: smallest doc_id reachable over links of at most 3 bits. ``part`` names the group, ids or not. Null or empty
+    text: fingerprint 0, linked like any other. Null doc_id: takes part through its fingerprint, but is never a component_id
+    unless no document of the group has an id (then null). Repeated rows give repeated rows. ``rid`` is a hash of the text.
+    Other columns are ignored.
     """
     prints = stored(fingerprints(docs, shingle))
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
@@ -163,9 +163,11 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     parts = stored(components(joined))
     linked = nodes.join(parts, nodes["fp"] == parts["node"]).select("fp", "first", "component")
     lowest = linked.groupBy("component").agg(F.min("first").alias("low"))
-    named = linked.join(lowest, "component").select("fp", "low")
-    names = stored(nodes.join(named, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id")))
-    return prints.join(names, "fp").select("doc_id", "rid", "fp", "component_id")
+    named = linked.join(lowest, "component").select("fp", "component", "low")
+    part, low = F.coalesce("component", "fp").alias("part"), F.coalesce("low", "first").alias("component_id")
+    names = stored(nodes.join(named, "fp", "left").select("fp", part, low))
+    discard(nodes, parts)
+    return prints.join(names, "fp").select("doc_id", "rid", "fp", "part", "component_id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -175,18 +177,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The row with the smallest doc_id of each group of near duplicates, with all columns.
+    """One row of each group of near duplicates, with all columns: the one with the smallest doc_id.
 
-    Groups are those of five-word shingles alike at 0.8 or more (``jaccard``), not those of the query. A group without any
-    id, and of other groups the rows without one, stay. Of rows that repeat an id in one group one stays.
+    Groups are those of the query. Rows without an id come after all others, by a hash of their text; of rows that repeat an
+    id in one group the one with the smallest hash stays, once. An empty table gives none.
     """
-    groups = stored(jaccard.groups(docs))
-    known = groups.where("doc_id is not null")
-    kept = known.groupBy("part").agg(F.min(F.struct("doc_id", "rid")).alias("kept"))
-    marked = known.join(kept, "part").withColumn("stays", F.struct("doc_id", "rid") == F.col("kept"))
-    rows = stored(marked.groupBy("doc_id", "rid", "stays").agg(F.count(F.lit(1)).alias("n")))
-    gone = rows.where("not stays").select("doc_id", "rid")
-    again = stored(rows.where("stays and n > 1").select("doc_id", "rid"))
+    groups = stored(near_groups(docs).select("doc_id", "rid", "part"))
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "rid")
+    kept = groups.groupBy("part").agg(F.min(place).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.rid").alias("_rid"))
+    rows = groups.groupBy("doc_id", "rid").agg(F.count(F.lit(1)).alias("n"))
+    same = rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["rid"] == kept["_rid"])
+    gone = stored(rows.join(kept, same, "left_anti").select("doc_id", "rid"))
+    again = stored(rows.where("n > 1").join(kept, same, "left_semi").select("doc_id", "rid"))
     left = rows_of(docs, gone, "left_anti")
     if again.isEmpty():
         return left
