@@ -560,6 +560,26 @@ half AS (
 SELECT DATE_TRUNC('month', transaction_date) AS month, h.region, SUM(COALESCE(c, 1)) AS export_rows,
   SUM(amount * COALESCE(c, 1)) AS export_amount
 FROM half h LEFT JOIN stock ON stock.region = h.region GROUP BY 1, 2""",
+    ),
+    "sales_analysis_export_factors": (
+        "month:d region:t visits:i export_rows:f rows_per_visit:f",
+        f"""
+WITH t AS (SELECT TRY_CAST(entity AS BIGINT) AS id, region, transaction_date AS day FROM ({_SOLD})),
+v AS (SELECT product_category, sentiment FROM sv_reviews GROUP BY 1, 2),
+matched AS (
+  SELECT t.region, t.day, t.id,
+    (SELECT COUNT(*) FROM sv_customers u WHERE u.customer_id = t.id) AS u,
+    (SELECT COUNT(*) FROM sv_shipments s WHERE s.order_id = t.id) AS s,
+    (SELECT COUNT(*) FROM sv_interactions x WHERE x.customer_id = t.id) AS x,
+    (SELECT COUNT(*) FROM sv_campaigns k WHERE k.region = t.region AND t.day BETWEEN k.start_date AND k.end_date) AS k,
+    (SELECT COUNT(*) FROM sv_promotions o WHERE t.day BETWEEN o.start_date AND o.end_date) AS o,
+    (SELECT COUNT(*) FROM sv_inventory n LEFT JOIN v ON v.product_category = n.product_category WHERE n.region = t.region) AS n
+  FROM t),
+m AS (
+  SELECT DATE_TRUNC('month', day) AS month, region, COUNT(DISTINCT (id, day)) AS visits,
+    SUM(GREATEST(u, 1) * GREATEST(s, 1) * GREATEST(x, 1) * GREATEST(k, 1) * GREATEST(o, 1) * GREATEST(n, 1)) AS export_rows
+  FROM matched GROUP BY 1, 2)
+SELECT *, {div('export_rows', 'visits')} AS rows_per_visit FROM m""",
     ),
     "layer_counts": ("layer:t table_name:t record_count:i", _layer_counts()),
     "quality_stats": (

@@ -13,6 +13,7 @@ from shelfline.operators.intervals import days_covered, interval_join, range_sta
 from shelfline.operators.ordered import exact_median, rank_by, top_rows
 from shelfline.operators.stacking import stack, summarise, unpivot_row
 from shelfline.plans import silver as silver_plans
+from shelfline.plans.export import review_scores, sales_analysis_export, sales_analysis_export_factors
 
 if TYPE_CHECKING:
     from shelfline.lakehouse import Lakehouse
@@ -641,60 +642,6 @@ def monthly_report(lake: Lakehouse) -> DataFrame:
     )
 
 
-def _review_scores(lake: Lakehouse) -> DataFrame:
-    return (
-        lake.silver("product_reviews_clean")
-        .groupBy("product_category", "sentiment")
-        .agg(mean(c("rating")).alias("avg_rating"))
-    )
-
-
-def sales_analysis_export(lake: Lakehouse) -> DataFrame:
-    """Wide view for reporting tools: every sale with all matching customers, campaigns, promotions, stock items of its
-    region, shipments, interactions and review scores.
-
-    The matches multiply, by definition of the view, so it is a view to filter and aggregate, or to write out for a
-    chosen period; nothing here bounds it.
-    """
-    sale = _sold(lake).select(
-        "transaction_date", "entity", "region", "amount", "transaction_type", lenient_id(c("entity")).alias("_id")
-    )
-    customers = lake.silver("customer_demographics_clean").select(
-        "customer_id", "age", "gender", "annual_income", "marital_status"
-    )
-    campaigns = lake.silver("marketing_campaigns_clean").select(
-        "campaign_name", "campaign_type", "start_date", "end_date", c("region").alias("campaign_region")
-    )
-    promotions = lake.silver("promotions_clean").select(
-        "promotion_type", "discount_percentage", "start_date", "end_date"
-    )
-    stock = lake.silver("inventory_clean").select(
-        c("region").alias("_region"), "product_category", "stock_level", "current_stock", "reorder_point"
-    )
-    shipments = lake.silver("logistics_and_shipping_clean").select(
-        c("order_id").alias("_order"), "shipping_method", "delivery_status"
-    )
-    interactions = lake.silver("customer_service_interactions_clean").select(
-        c("customer_id").alias("_caller"), "satisfaction_category"
-    )
-    scores = _review_scores(lake).withColumnRenamed("product_category", "_category")
-    dated = interval_join(
-        sale.join(customers, c("_id") == c("customer_id"), "left"),
-        campaigns,
-        point="transaction_date",
-        on={"region": "campaign_region"},
-        how="left",
-    ).drop("start_date", "end_date", "campaign_region")
-    dated = interval_join(dated, promotions, point="transaction_date", how="left").drop("start_date", "end_date")
-    return (
-        dated.join(stock, c("region") == c("_region"), "left")
-        .join(shipments, c("_id") == c("_order"), "left")
-        .join(interactions, c("_id") == c("_caller"), "left")
-        .join(scores, c("product_category") == c("_category"), "left")
-        .drop("_id", "_region", "_order", "_caller", "_category")
-    )
-
-
 def sales_analysis_export_profile(lake: Lakehouse) -> DataFrame:
     """Rows and amount of the whole export view by month and region, without writing the view out.
 
@@ -735,7 +682,7 @@ def sales_analysis_export_profile(lake: Lakehouse) -> DataFrame:
     promotions = days_covered(promotions, day="transaction_date").groupBy("transaction_date").agg(
         F.sum("promotions").alias("promotions")
     )
-    scores = _review_scores(lake).groupBy("product_category").agg(F.count("*").alias("scores"))
+    scores = review_scores(lake).groupBy("product_category").agg(F.count("*").alias("scores"))
     stock = (
         lake.silver("inventory_clean")
         .groupBy("region", "product_category")

@@ -50,7 +50,7 @@ _EXPLORE = (
     "table_profile missing_values numeric_distribution monthly_sales quarterly_growth region_performance top_entities"
     " customer_segments basket_by_income promo_vs_no_promo promo_sensitivity campaign_sales_link campaign_ranking"
     " review_impact service_influence stockouts delivery_satisfaction stock_sales_satisfaction business_dashboard"
-    " monthly_report sales_analysis_export_profile"
+    " monthly_report sales_analysis_export_profile sales_analysis_export_factors"
 ).split()
 _QUALITY = (
     "layer_counts quality_stats range_checks temporal_checks sales_tests sales_stats current_promotions promotion_tests"

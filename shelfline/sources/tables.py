@@ -38,6 +38,20 @@ def replace_table(df: DataFrame, name: str, comment: str | None = None, columns:
     return spark.table(name)
 
 
+def replace_partitions(df: DataFrame, name: str, column: str) -> None:
+    """Write ``df``, whose last column is ``column``, over the partitions of the table that it has rows for; others stay."""
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    if not spark.catalog.tableExists(name):
+        df.write.format("parquet").partitionBy(column).saveAsTable(name)
+        return
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def recover_table(spark: SparkSession, name: str) -> None:
     """Undo a swap that stopped halfway: without ``name``, its old copy is put back; with it, the old copy is dropped.
 
