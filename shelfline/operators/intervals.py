@@ -4,8 +4,7 @@ A range of days is joined through the days it covers, so every join here is an e
 shuffle by key; no operator compares each row with each range.
 
 Spark's size estimate does not see that expanding a range multiplies its rows. An expanded side is therefore broadcast
-only when its days have been counted and are few; otherwise it carries a merge hint, and adaptive execution may split
-its join at hot keys.
+only by its real bytes at run time (``measured_side``); adaptive execution may split a merge join at hot keys.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.operators.sizing import join_side
+from shelfline.operators.sizing import measured_side
 
 
 def days_covered(ranges: DataFrame, start: str = "start_date", end: str = "end_date", day: str = "day") -> DataFrame:
@@ -25,10 +24,8 @@ def days_covered(ranges: DataFrame, start: str = "start_date", end: str = "end_d
 
 
 def _range_days(ranges: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
-    """Days of the distinct ranges, marked for the join that suits their number."""
-    distinct = ranges.select(*keys).distinct()
-    count = distinct.where(F.col(start) <= F.col(end)).agg(F.sum(F.datediff(end, start) + F.lit(1).cast("bigint")))
-    return join_side(days_covered(distinct, start, end, "_day"), count)
+    """Days of the distinct ranges."""
+    return measured_side(days_covered(ranges.select(*keys).distinct(), start, end, "_day"))
 
 
 def interval_join(
@@ -64,9 +61,9 @@ def interval_join(
         condition &= points[left] == F.col(f"_on{position}")
         helpers.append(f"_on{position}")
     if how == "left_anti":
-        return points.join(keyed.select(*helpers).distinct().hint("merge"), condition, how)
+        return points.join(measured_side(keyed.select(*helpers).distinct()), condition, how)
     shared = [name for name in on.values() if name in points.columns]
-    return points.join(keyed.drop(*shared).hint("merge"), condition, how).drop(*helpers)
+    return points.join(measured_side(keyed.drop(*shared)), condition, how).drop(*helpers)
 
 
 def split_by_ranges(

@@ -7,40 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Least number of buckets the value range is cut into; only their totals meet in one task.
-BUCKETS = 64
+# Buckets a doubling of the value is cut into. Doubles span 2,098 doublings either side of zero, so however many rows
+# there are, the bucket totals are a table of fewer than 300,000 rows.
+PER_DOUBLING = 64
+LARGEST = 1 << 18
 
 
-def _buckets(df: DataFrame) -> int:
-    """As many buckets as the session has shuffle partitions, so that the work spreads over the cluster."""
-    return max(BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _bucket(value: str) -> Column:
+    """A number that does not fall as ``value`` rises: its logarithm cut into steps of about one percent, with its sign.
+
+    It depends on nothing but the value, so every part of a plan puts a value into the same bucket. NaN, then NULL sort last.
+    """
+    at = F.col(value).cast("double")
+    size = F.floor(F.least(F.log2(F.abs(at)) * PER_DOUBLING, F.lit(1025.0 * PER_DOUBLING))) + 1076 * PER_DOUBLING
+    finite = F.when(at == 0, 0).when(at > 0, size).otherwise(-size)
+    return F.when(at.isNull(), LARGEST + 1).when(F.isnan(at), LARGEST).otherwise(finite)
 
 
 def running_counts(df: DataFrame, value: str) -> DataFrame:
     """Distinct values with their row count, the rows sorting before them and all rows: (value, rows, below, total).
 
-    NULL sorts last. Equal rows are merged first, so a common value is one row. The values are cut at approximate
-    quantiles and accumulated bucket by bucket; the bucket totals, one row a bucket, give each bucket its start.
+    NULL sorts last. Equal rows are merged first, so a common value is one row. Values fall into buckets of their own order;
+    the bucket totals, a table of bounded size, give each bucket its start, and values are accumulated inside buckets.
     """
-    buckets = _buckets(df)
-    counts = df.groupBy(value).agg(F.count("*").alias("rows")).withColumn("_at", F.col(value).cast("double"))
-    fractions = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = counts.agg(F.percentile_approx("_at", fractions, 20 * buckets)).scalar()
-    # Never NULL, or the join below would test the bucket of every row before equal rows are merged.
-    smaller = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col("_at"))), F.lit(0))
-    bucketed = counts.withColumn("_cuts", cuts).withColumn(
-        "_bucket", F.when(F.col("_at").isNull(), buckets).otherwise(smaller)
-    )
-    totals = bucketed.groupBy("_bucket").agg(F.sum("rows").alias("_rows"))
+    counts = df.groupBy(value).agg(F.count("*").alias("rows")).withColumn("_bucket", _bucket(value))
+    totals = counts.groupBy("_bucket").agg(F.sum("rows").alias("_rows"))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
         "_bucket",
+        "_rows",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
         F.sum("_rows").over(Window.partitionBy()).alias("total"),
     )
     inside = Window.partitionBy("_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     below = F.col("_start") + F.coalesce(F.sum("rows").over(inside), F.lit(0))
-    return bucketed.join(F.broadcast(starts), "_bucket").select(value, "rows", below.alias("below"), "total")
+    return counts.join(F.broadcast(starts), "_bucket").select(value, "rows", below.alias("below"), "total", "_start", "_rows")
 
 
 def exact_median(df: DataFrame, value: str, name: str = "median") -> DataFrame:
@@ -52,7 +53,9 @@ def exact_median(df: DataFrame, value: str, name: str = "median") -> DataFrame:
     def holds(position: Column) -> Column:
         return (F.col("below") <= position) & (position < F.col("below") + F.col("rows"))
 
-    middle = counts.where(holds(lower) | holds(upper))
+    # Only the buckets that hold a middle row are sorted.
+    near = (F.col("_start") <= upper) & (lower < F.col("_start") + F.col("_rows"))
+    middle = counts.where(near).where(holds(lower) | holds(upper))
     at = F.col(value).cast("double")
     return middle.agg(((F.min(at) + F.max(at)) / 2).alias(name))
 
@@ -60,8 +63,8 @@ def exact_median(df: DataFrame, value: str, name: str = "median") -> DataFrame:
 def rank_by(df: DataFrame, value: str, name: str) -> DataFrame:
     """RANK over the whole table by ``value`` descending, NULLs first.
 
-    The rank is 1 plus the rows with greater values, so it is worked out per distinct value and joined back; equal
-    rows need not meet in one task.
+    The rank is 1 plus the rows with greater values, so it is worked out per distinct value and joined back: rows of a
+    value that a third of the table has would meet in one task of a window, while a join is split there.
     """
     place = F.col("total") - F.col("below") - F.col("rows") + 1
     ranks = running_counts(df, value).select(F.col(value).alias("_value"), place.alias(name))

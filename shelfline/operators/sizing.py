@@ -1,19 +1,18 @@
-"""Broadcast a side only after its size is known."""
+"""Let the real size of a join side decide, not an estimate."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Rows a broadcast side may have; at some 200 bytes a row this stays near 40 MB.
-BROADCAST_ROWS = 200_000
+STATIC = "spark.sql.autoBroadcastJoinThreshold"
 
 
-def join_side(side: DataFrame, rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``side`` for broadcast when ``rows`` (one row, one number: its row count) is within ``limit``.
+def measured_side(side: DataFrame) -> DataFrame:
+    """A join side whose size Spark cannot estimate, such as expanded ranges (each counts as one row in the estimate).
 
-    Beyond it the side is marked for a sort-merge join, which adaptive execution splits at hot keys. Spark's own
-    estimate does not see that exploding a range multiplies its rows, so the choice is not left to it.
+    The side carries a merge hint, as an estimate that is too low could broadcast far too much; adaptive execution splits the
+    join at hot keys. In a session that plans no broadcast from estimates (a negative static threshold, a positive adaptive
+    one) nothing is marked: the side's real bytes then decide at run time. No job runs while the plan is built.
     """
-    count = rows.first()[0]
-    return F.broadcast(side) if (count or 0) <= limit else side.hint("merge")
+    threshold = side.sparkSession.conf.get(STATIC).lower().removesuffix("b")
+    return side if threshold.startswith("-") else side.hint("merge")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from shelfline.functions import bands
 from shelfline.functions.dialect import flag, half_up, lenient_id, percent, ratio, years_between
 from shelfline.operators.intervals import days_covered, range_stats, range_visitors, running_keys, split_by_ranges
-from shelfline.operators.sizing import join_side
+from shelfline.operators.sizing import measured_side
 
 if TYPE_CHECKING:
     from shelfline.lakehouse import Lakehouse
@@ -146,7 +146,7 @@ def _offers(lake: Lakehouse) -> DataFrame:
         F.col("reach").alias("campaign_reach"),
         F.col("conversion_rate").alias("campaign_conversion_rate"),
     )
-    return promotions.hint("merge").join(campaigns, CELL, "full")
+    return measured_side(promotions).join(campaigns, CELL, "full")
 
 
 def sales_enriched(lake: Lakehouse) -> DataFrame:
@@ -155,9 +155,7 @@ def sales_enriched(lake: Lakehouse) -> DataFrame:
     Promotions and campaigns are combined per cell first, so the sales meet them in a single join: no shuffle of the
     sales when the combinations are few, one that can be split at hot cells when they are not.
     """
-    combinations = offer_cells(lake).agg(F.sum(F.col("repeats").cast(WIDE)))
-    offers = join_side(_offers(lake), combinations)
-    fact = sales(lake).join(offers, CELL, "left")
+    fact = sales(lake).join(measured_side(_offers(lake)), CELL, "left")
     day, amount = F.col("sale_date"), F.col("sale_amount")
     discount, rate = F.coalesce(F.col("discount_percentage"), F.lit(0.0)), F.col("campaign_conversion_rate")
     has_campaign = F.col("campaign_id").isNotNull()
@@ -351,8 +349,7 @@ def promotions_active(lake: Lakehouse) -> DataFrame:
 
 def customer_sales(lake: Lakehouse) -> DataFrame:
     """Purchases of each numeric entity, as summed over the fact."""
-    offers = offer_cells(lake).select(*CELL, "repeats")
-    offers = join_side(offers, offers.agg(F.count("*")))
+    offers = measured_side(offer_cells(lake).select(*CELL, "repeats"))
     repeats = F.coalesce("repeats", F.lit(1))
     return (
         sales(lake)

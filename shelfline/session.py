@@ -11,7 +11,8 @@ def build_session(app_name: str = "shelfline", master: str | None = None, **sett
     """Return a session with the settings below; on a cluster, leave ``master`` unset and let spark-submit decide.
 
     Shuffle partitions start high and adaptive execution merges the small ones, so one setting serves small and
-    large inputs. Skewed joins are split at run time.
+    large inputs. Skewed joins are split at run time. PySpark's record of the line that
+    made each expression is off: it costs calls into the JVM for every one while a plan is built.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -20,6 +21,7 @@ def build_session(app_name: str = "shelfline", master: str | None = None, **sett
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
