@@ -26,6 +26,7 @@ class Lakehouse:
         self.as_of = as_of
         self._read_bronze = read_bronze
         self._tables: dict[tuple[str, str], DataFrame] = {}
+        self._written: set[tuple[str, str]] = set()
 
     @classmethod
     def from_star_schema(cls, spark: SparkSession, folder: str, as_of: dt.date = STAR_SCHEMA_AS_OF) -> Lakehouse:
@@ -68,6 +69,11 @@ class Lakehouse:
     def use(self, layer: str, name: str, df: DataFrame) -> None:
         """Serve this layer's table from ``df``, for example its written copy."""
         self._tables[layer, name] = df
+        self._written.add((layer, name))
+
+    def written(self, layer: str, name: str) -> DataFrame | None:
+        """The table given to ``use``, or None: for tables that only save work where they exist."""
+        return self._tables[layer, name] if (layer, name) in self._written else None
 
     def _once(self, layer: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if (layer, name) not in self._tables:

@@ -66,12 +66,26 @@ def interval_join(
     return points.join(measured_side(keyed.drop(*shared)), condition, how).drop(*helpers)
 
 
+def islands(ranges: DataFrame, keys: Sequence[str], start: str = "start_date", end: str = "end_date") -> DataFrame:
+    """The days that the ranges of each key cover, as the fewest ranges: (``keys``, ``start``, ``end``).
+
+    Ranges that overlap or follow each other day on day become one. Equal ranges are merged first, so a key's work is
+    limited by the calendar, however many rows it has. Empty and open ranges cover nothing.
+    """
+    valid = ranges.where(F.col(start) <= F.col(end)).groupBy(*keys, start).agg(F.max(end).alias(end))
+    order = Window.partitionBy(*keys).orderBy(start)
+    reached = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(F.col(start) <= F.date_add(reached, 1), 0).otherwise(1)
+    numbered = valid.withColumn("_fresh", fresh).withColumn("_island", F.sum("_fresh").over(order))
+    return numbered.groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
+
+
 def split_by_ranges(
     ranges: DataFrame, key: str, on: Sequence[str] = (), start: str = "start_date", end: str = "end_date"
 ) -> tuple[DataFrame, DataFrame]:
-    """Distinct (key, range) rows of the keys with exactly one range, and of the keys with several."""
+    """Islands (key, ``on``, range) of the keys whose ranges come to exactly one, and of the keys with several."""
     columns = [*on, start, end]
-    placed = ranges.where(F.col(key).isNotNull()).select(key, *columns).distinct()
+    placed = islands(ranges.where(F.col(key).isNotNull()), [key, *on], start, end).select(key, *columns)
     counted = placed.groupBy(key).agg(F.count("*").alias("_ranges"), *[F.min(c).alias(c) for c in columns])
     single = counted.where(F.col("_ranges") == 1).drop("_ranges")
     several = placed.join(counted.where(F.col("_ranges") > 1).select(key), key)
@@ -90,15 +104,12 @@ def running_keys(
 ) -> DataFrame:
     """Exact distinct keys whose range covers each (``on``, day).
 
-    Keys with one range are counted per range before ranges are expanded into days; keys with several, whose ranges
-    may overlap, are expanded themselves.
+    A key's overlapping ranges become islands first. No day of a region lies in two islands of one key, so islands are
+    counted, whatever their keys, before they are expanded into days.
     """
-    single, several = split_by_ranges(ranges, key, on, start, end)
-    per_range = single.groupBy(*on, start, end).agg(F.count("*").alias(name))
-    alone = days_covered(per_range, start, end, day).select(*on, day, name)
-    listed = days_covered(several, start, end, day).select(*on, day, key).distinct()
-    together = listed.groupBy(*on, day).agg(F.count("*").alias(name))
-    return alone.unionByName(together).groupBy(*on, day).agg(F.sum(name).alias(name))
+    placed = islands(ranges.where(F.col(key).isNotNull()), [key, *on], start, end)
+    per_range = placed.groupBy(*on, start, end).agg(F.count("*").alias(name))
+    return days_covered(per_range, start, end, day).groupBy(*on, day).agg(F.sum(name).alias(name))
 
 
 def range_stats(

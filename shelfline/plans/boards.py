@@ -31,7 +31,7 @@ RATING_CHOICES = {"EXCELLENT": "Excellent", "GOOD": "Good", "AVERAGE": "Acceptab
 
 
 def _paid_cells(lake: Lakehouse) -> DataFrame:
-    return sales_cells(lake, where=c("sale_amount") > 0)
+    return sales_cells(lake, paid_only=True)
 
 
 def _rows() -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from shelfline.lakehouse import Lakehouse
-from shelfline.plans import explore, gold, quality, silver
+from shelfline.plans import cells, explore, gold, quality, silver
 from shelfline.sources import schemas
 from shelfline.sources.tables import clustered, register_view, replace_table
 
@@ -59,6 +59,9 @@ def build(lake: Lakehouse, prefix: str = "") -> None:
     for name in silver.TABLES:
         table = replace_table(lake.silver(name), f"{prefix}silver.{name}", COMMENTS[name])
         lake.use("silver", name, table)
+    for name, (columns, spread_by) in cells.TABLES.items():
+        laid_out = clustered(getattr(cells, name)(lake), columns, spread_by)
+        lake.use("gold", name, replace_table(laid_out, f"{prefix}gold.{name}"))
     for name, (columns, spread_by) in gold.CLUSTERING.items():
         laid_out = clustered(lake.gold(name), columns, spread_by)
         table = replace_table(laid_out, f"{prefix}gold.{name}", COMMENTS[name], COLUMN_COMMENTS.get(name))

@@ -12,6 +12,7 @@ from shelfline.functions.dialect import half_up, leading_word, lenient_id, mean,
 from shelfline.operators.intervals import days_covered, interval_join, range_stats
 from shelfline.operators.ordered import exact_median, rank_by, top_rows
 from shelfline.operators.stacking import stack, summarise, unpivot_row
+from shelfline.plans import cells
 from shelfline.plans import silver as silver_plans
 from shelfline.plans.export import review_scores, sales_analysis_export, sales_analysis_export_factors
 
@@ -141,6 +142,13 @@ def numeric_distribution(lake: Lakehouse) -> DataFrame:
 
 
 def monthly_sales(lake: Lakehouse) -> DataFrame:
+    month = {"month": F.trunc("transaction_date", "month")}
+    from_cells = cells.summary(
+        lake, month, "Sale", "unique_entities",
+        transaction_count=F.sum("sales"), total_revenue=cells.total_amount(), avg_transaction_value=cells.mean_amount(),
+    )
+    if from_cells is not None:
+        return from_cells.orderBy("month")
     return (
         _sold(lake)
         .groupBy(F.trunc("transaction_date", "month").alias("month"))
@@ -171,16 +179,21 @@ def quarterly_growth(lake: Lakehouse) -> DataFrame:
 
 
 def region_performance(lake: Lakehouse) -> DataFrame:
-    regions = (
-        _sold(lake)
-        .groupBy("region")
-        .agg(
-            F.count("*").alias("transaction_count"),
-            F.sum("amount").alias("total_revenue"),
-            mean(c("amount")).alias("avg_transaction_value"),
-            F.count_distinct("entity").alias("unique_entities"),
+    regions = cells.summary(
+        lake, {"region": c("region")}, "Sale", "unique_entities",
+        transaction_count=F.sum("sales"), total_revenue=cells.total_amount(), avg_transaction_value=cells.mean_amount(),
+    )
+    if regions is None:
+        regions = (
+            _sold(lake)
+            .groupBy("region")
+            .agg(
+                F.count("*").alias("transaction_count"),
+                F.sum("amount").alias("total_revenue"),
+                mean(c("amount")).alias("avg_transaction_value"),
+                F.count_distinct("entity").alias("unique_entities"),
+            )
         )
-    )
     everything = F.sum("total_revenue").over(Window.partitionBy())
     return regions.withColumn("revenue_share_pct", percent(c("total_revenue"), everything)).orderBy(
         c("total_revenue").desc_nulls_first(), "region"
@@ -627,6 +640,15 @@ def recommendations(lake: Lakehouse) -> DataFrame:
 def monthly_report(lake: Lakehouse) -> DataFrame:
     """Month by region; a transaction id occurs once in Silver, so refunds need no second distinct count."""
     refund = c("transaction_type") == "REFUND"
+    from_cells = cells.summary(
+        lake, {"report_month": F.trunc("transaction_date", "month"), "region": c("region")}, None, "active_customers",
+        total_transactions=F.sum("sales"), monthly_revenue=cells.total_amount(), avg_ticket=cells.mean_amount(),
+        max_transaction=F.max("largest"), refund_count=F.coalesce(F.sum(F.when(refund, c("named_sales"))), F.lit(0)),
+        total_refunds=cells.total_amount(F.when(refund, c("amount")).otherwise(0)),
+    )
+    if from_cells is not None:
+        first = ["report_month", "region", "active_customers"]
+        return from_cells.select(*first, *(name for name in from_cells.columns if name not in first))
     return (
         _transactions(lake)
         .groupBy(F.trunc("transaction_date", "month").alias("report_month"), "region")

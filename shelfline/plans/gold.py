@@ -17,6 +17,8 @@ from shelfline.functions import bands
 from shelfline.functions.dialect import flag, half_up, lenient_id, percent, ratio, years_between
 from shelfline.operators.intervals import days_covered, range_stats, range_visitors, running_keys, split_by_ranges
 from shelfline.operators.sizing import measured_side
+from shelfline.operators.visitor_sets import merged, set_sizes, visitor_sets
+from shelfline.plans import cells
 
 if TYPE_CHECKING:
     from shelfline.lakehouse import Lakehouse
@@ -89,14 +91,13 @@ OFFER_COUNTS += ("campaigns", "named_campaigns")
 
 def offer_cells(lake: Lakehouse) -> DataFrame:
     """Cells in which any promotion or campaign runs."""
-    cells = promotion_cells(lake).join(campaign_cells(lake), CELL, "full")
-    return with_repeats(cells)
+    return with_repeats(promotion_cells(lake).join(campaign_cells(lake), CELL, "full"))
 
 
-def with_repeats(cells: DataFrame) -> DataFrame:
+def with_repeats(offers: DataFrame) -> DataFrame:
     """How often the fact repeats a sale of each cell: ``promo_rows`` and ``campaign_rows`` from each side, 1 where
     nothing runs, and ``repeats``, their product."""
-    filled = cells.fillna(0, subset=list(OFFER_COUNTS)).fillna(0.0, subset=["discount_points"])
+    filled = offers.fillna(0, subset=list(OFFER_COUNTS)).fillna(0.0, subset=["discount_points"])
     return (
         filled.withColumn("promo_rows", F.greatest(F.lit(1), F.col("promotions")))
         .withColumn("campaign_rows", F.greatest(F.lit(1), F.col("campaigns")))
@@ -104,22 +105,26 @@ def with_repeats(cells: DataFrame) -> DataFrame:
     )
 
 
-def sales_cells(lake: Lakehouse, where: Column | None = None) -> DataFrame:
-    """Sales of each cell with the cell's repetitions; one row per region and day however many sales."""
-    sold = sales(lake) if where is None else sales(lake).where(where)
-    method = F.col("payment_method")
-    cells = sold.groupBy(*CELL).agg(
-        F.count("*").alias("sales"),
-        F.count("sale_id").alias("named_sales"),
-        F.sum("sale_amount").alias("amount"),
-        F.count_if(F.col("sale_amount") > 0).alias("positive_sales"),
-        F.count_if(F.col("sale_amount") < 0).alias("negative_sales"),
-        F.count_if(method == "Credit Card").alias("card_sales"),
-        F.count_if(method == "Cash").alias("cash_sales"),
-        F.count_if(method == "Bank Transfer").alias("transfer_sales"),
-    )
+SALES_SUMS = ("sales", "named_sales", "amount", "positive_sales", "negative_sales", "card_sales", "cash_sales", "transfer_sales")
+
+
+def sales_cells(lake: Lakehouse, paid_only: bool = False) -> DataFrame:
+    """Sales of each cell with the cell's repetitions; one row per region and day however many sales.
+
+    From the written cells where there are any. ``paid_only``: sales of positive amounts.
+    """
+    days = cells.written(lake, "transaction_days", "Sale")
+    if days is None:
+        days = lake.silver("financial_transactions_clean").where(F.col("transaction_type") == "Sale")
+        days = days.where(F.col("amount") > 0) if paid_only else days
+        sums = {name: e for name, e in cells.measures().items() if name in SALES_SUMS}
+    else:
+        days = days.where("paid") if paid_only else days
+        sums = {name: F.sum(name) for name in SALES_SUMS}
+    by_cell = days.groupBy(F.col("region").alias("sale_region"), F.col("transaction_date").alias("sale_date"))
+    summed = by_cell.agg(*[e.alias(name) for name, e in sums.items()])
     offers = promotion_cells(lake).join(campaign_cells(lake), CELL, "full")
-    return with_repeats(cells.join(offers, CELL, "left"))
+    return with_repeats(summed.join(offers, CELL, "left"))
 
 
 def _offers(lake: Lakehouse) -> DataFrame:
@@ -210,10 +215,10 @@ def daily_sales_summary(lake: Lakehouse) -> DataFrame:
             name="active_campaigns",
         ),
     }
-    cells = sales_cells(lake)
+    days = sales_cells(lake)
     for name, counts in running.items():
-        cells = cells.join(counts.withColumnRenamed("region", "sale_region"), CELL, "left").fillna(0, subset=[name])
-    return cells.select(
+        days = days.join(counts.withColumnRenamed("region", "sale_region"), CELL, "left").fillna(0, subset=[name])
+    return days.select(
         "sale_date",
         "sale_region",
         (c("sales") * c("repeats")).alias("total_transactions"),
@@ -257,8 +262,9 @@ def _cells_by_region(lake: Lakehouse) -> DataFrame:
 def _buyers(ranges: DataFrame, key: str, lake: Lakehouse) -> DataFrame:
     """Exact distinct buying entities per ``key`` over its ranges: (key, unique_buyers).
 
-    A key with one range takes the count of that range. A key spread over several ranges or regions is rare; its
-    ranges may overlap, so its buyers are listed and counted.
+    A key's ranges are merged into islands. A key with one island takes the count of that island. The buyers of several
+    islands may be the same ones, also through visits in between, so they are merged as sets: the bitmaps of an island's days
+    once an island, then those of a key's islands. No buyer is listed beside a key.
     """
     visits = sales(lake).select(F.col("sale_region").alias("region"), "sale_date", "merchant_entity")
     single, several = split_by_ranges(ranges, key, ["region"])
@@ -266,13 +272,11 @@ def _buyers(ranges: DataFrame, key: str, lake: Lakehouse) -> DataFrame:
         single, visits, visitor="merchant_entity", day="sale_date", on=["region"], name="unique_buyers"
     )
     of_single = single.join(counted, RANGE).select(key, "unique_buyers")
-    days = days_covered(several, day="sale_date").select(key, "region", "sale_date").distinct()
-    of_several = (
-        days.hint("merge")
-        .join(visits.distinct(), ["region", "sale_date"])
-        .groupBy(key)
-        .agg(F.count_distinct("merchant_entity").alias("unique_buyers"))
-    )
+    days = days_covered(several.select(*RANGE).distinct(), day="sale_date")
+    wanted = measured_side(days.select("region", "sale_date").distinct())
+    sets = visitor_sets(visits.join(wanted, ["region", "sale_date"], "left_semi"), ["region", "sale_date"], "merchant_entity")
+    of_island = merged(measured_side(days).join(sets, ["region", "sale_date"]), RANGE)
+    of_several = set_sizes(several.join(of_island, RANGE), [key], "unique_buyers")
     return of_single.unionByName(of_several)
 
 
