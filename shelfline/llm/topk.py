@@ -25,15 +25,22 @@ BLOCK = 4096  # vectors a block
 QUERIES = 256  # queries a block
 FIRST_READ = 32  # exact vectors read a query before the k-th score is known
 SCALE = 1024
+LARGEST = 2.0**60
+EXACT = 2.0**53  # integers up to here are exact as doubles
 
 
 def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
-    """(vec_id, v): integer components floor(1024 x); rows with null vectors, null or non-finite components or null id go."""
+    """(vec_id, v): integer components floor(1024 x); rows with null vectors, null or non-finite components or null id go.
+
+    So do rows whose integer components have a sum of squares above ``LARGEST``: within it no inner product of two vectors,
+    and no sum on the way to one, leaves the range of a long.
+    """
     x = F.col(column)
     good = x.isNotNull() & F.col("vec_id").isNotNull() & (F.size(x) > 0)
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c.cast("double")) == float("inf")))
+    squares = F.aggregate(x, F.lit(0.0), lambda s, c: s + F.pow(F.rint(c.cast("double") * SCALE), F.lit(2.0)))
     whole = F.transform(x, lambda c: F.floor(c.cast("double") * SCALE).cast("long"))
-    return vectors.where(good).where(~bad).select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
+    return vectors.where(good).where(~bad).where(squares <= LARGEST).select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
 
 
 def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -88,6 +95,10 @@ def _scan(lows: dict[int, np.ndarray], steps: dict[int, np.ndarray], k: int):
                 plus, minus = np.maximum(query, 0), np.minimum(query, 0)
                 base = query @ floor.T
                 low, high = base + (minus @ width)[:, None], base + (plus @ width)[:, None]
+                most = np.abs(floor) + width
+                if np.abs(query).sum(axis=1).max() * most.max() >= EXACT:  # sums are rounded: give the bounds that much more room
+                    slack = (np.abs(query) @ most.T) * ((2 * dims + 8) / EXACT) + 1
+                    low, high = np.floor(low - slack), np.ceil(high + slack)
                 top = min(k + 1, low.shape[1])
                 new = np.partition(low, low.shape[1] - top, axis=1)[:, -top:]
                 if len(best) > 64:
@@ -114,13 +125,12 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` highest integer inner products of each query with the other rows.
 
     Queries: usable rows whose vec_id is divisible by ``every``. Ties go to the smaller vec_id; fewer candidates give
-    fewer rows; vectors of another length are no candidates. Repeated rows of one vec_id count as one row if their
-    vectors are equal. An id with several vectors is scored by each and, as a query, asks with each. No usable vector: no rows.
+    fewer rows; vectors of another length are no candidates. Every row counts: repeated rows give repeated results, an id with
+    several vectors is scored by each and, as a query, asks with each; its results are one list. No usable vector: no rows.
     """
-    spark = vectors.sparkSession
-    rows = usable(vectors).distinct()
+    rows = usable(vectors).groupBy("vec_id", "v").agg(F.least(F.lit(k), F.count(F.lit(1))).cast("int").alias("times"))
     ranked = rows.withColumn("n", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("n") <= k + 1)
-    distinct = stored(ranked.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min("vec_id").alias("id")))
+    distinct = stored(ranked.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("vec_id", "times"))).alias("ids"), F.min("vec_id").alias("id")))
     # An id can have several vectors: number the distinct vectors by themselves.
     distinct = stored(distinct.select(F.monotonically_increasing_id().alias("id"), "v", "ids"))
     spread = {
@@ -136,8 +146,8 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = K) -> DataFrame:
     highs = {n: np.array([x["high"] for x in high], dtype=np.int64) for n, (_, high) in spread.items()}
     steps = {n: (highs[n] - lows[n]) // CELLS + 1 for n in lows}
 
-    asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v")
-    asked = stored(asked.select(F.monotonically_increasing_id().alias("query"), "query_id", "v"))
+    asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v", F.col("times").alias("asks"))
+    asked = stored(asked.select(F.monotonically_increasing_id().alias("query"), "query_id", "v", "asks"))
     files = _blocks(distinct, BLOCK).mapInPandas(_approximate(lows, steps), "dims int, ids binary, cells binary")
     files = stored(files)
     blocks = _blocks(asked.withColumnRenamed("query", "id"), QUERIES).select("dims", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
@@ -152,19 +162,20 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = K) -> DataFrame:
     certain = stored(certain.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("high"), "id"))))
 
     def exact(wanted: DataFrame) -> DataFrame:
-        """(query, query_id, vec_id, score), at most k + 1 ids of a vector, without the query's own row."""
+        """(query, query_id, vec_id, score, times), at most k + 1 ids of a vector, without the query's own rows."""
         both = wanted.join(distinct.select("id", F.col("v").alias("x"), "ids"), "id").join(asked, "query")
         score = F.aggregate(F.zip_with("v", "x", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
-        out = both.select("query", "query_id", score.alias("score"), F.explode("ids").alias("vec_id"))
-        return out.where("vec_id <> query_id")
+        out = both.select("query", "query_id", score.alias("score"), "asks", F.explode("ids").alias("c"))
+        return out.where("c.vec_id <> query_id").select("query", "query_id", "c.vec_id", "score", (F.col("c.times") * F.col("asks")).alias("times"))
 
     by_score = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     first = stored(exact(certain.where(F.col("n") <= FIRST_READ)))
     reached = first.withColumn("n", F.row_number().over(by_score)).where(F.col("n") == k).select("query", F.col("score").alias("least"))
     later = certain.where(F.col("n") > FIRST_READ).join(reached, "query", "left").where("least is null or high >= least")
     scored = first.union(exact(later.select("query", "id")))
-    # An id that asks with several vectors gets one list, from its best scores.
-    once = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    # An id that asks several times gets one list; only its k best pairs can matter, however often they count.
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    out = once.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
+    few = scored.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k)
+    each = few.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.lit(k), "times"))))
+    out = each.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
     return out.select("query_id", "rank", "vec_id", "score")

@@ -169,23 +169,31 @@ def test_index_finds_all_within_radius():
 
 
 def brute_top(rows, every, k):
+    """Every row is a candidate of every other id's row, as in the query's SQL."""
     good = []
     for i, v in rows:
-        if i is not None and v is not None and len(v) and all(x is not None and math.isfinite(x) for x in v):
-            good.append((i, tuple(math.floor(1024 * x) for x in v)))
-    good = sorted(set(good))
+        if i is not None and v is not None and len(v) and all(x is not None and math.isfinite(1024 * x) for x in v):
+            whole = tuple(math.floor(1024 * x) for x in v)
+            if sum(x * x for x in whole) <= topk.LARGEST:
+                good.append((i, whole))
     out = Counter()
     for q in {i for i, _ in good if i % every == 0}:
-        best = {}
-        for i, v in good:
-            for j, w in good:
-                if i == q and j != q and len(v) == len(w):
-                    best[j] = max(best.get(j, -(10**18)), sum(a * b for a, b in zip(v, w, strict=True)))
-        for rank, (j, s) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:k], 1):
-            out[q, rank, j, s] += 1
+        pairs = [(-sum(a * b for a, b in zip(v, w, strict=True)), j) for i, v in good for j, w in good if i == q and j != q and len(v) == len(w)]
+        for rank, (s, j) in enumerate(sorted(pairs)[:k], 1):
+            out[q, rank, j, -s] += 1
     return out
 
 
+def test_large_finite_components_and_repeated_rows(spark):
+    """Scores beyond what a double holds exactly, vectors beyond the range, and rows that count more than once."""
+    pick = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in pick.integers(-400_000, 400_000, 4)]) for i in range(60)]
+    rows += [(60 + i, [rows[3][1][0], rows[3][1][1], rows[3][1][2], rows[3][1][3] + i / 1024]) for i in range(20)]
+    rows += [(100, [1e12, 1.0, 2.0, 3.0]), (101, [1e30] * 4), (102, [1e308, -1e308, 0.0, 0.0]), (0, rows[0][1]), (7, rows[7][1]), (7, rows[7][1]), (7, rows[8][1])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert Counter(tuple(r) for r in topk.top_k(table, every=10).collect()) == brute_top(rows, 10, 10)
+
+
 def test_top_k_is_brute_force(spark):
     pick = np.random.default_rng(2)
     rows = [(i, [float(np.float32(x)) for x in pick.normal(size=8)]) for i in range(300)]
