@@ -142,8 +142,11 @@ def without_copies(docs: DataFrame, depth: int = MIN_LINES) -> DataFrame:
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
-    """Result of the query: doc_id, n_lines, n_removed, kept_sha256 of the text that is left (null text: as empty)."""
-    out = marked(docs.select("doc_id", "text"))
+    """Result of the query: doc_id, n_lines, n_removed, kept_sha256 of the text that is left (null text: as empty).
+
+    Later copies of single lines that hold a word go, and of runs of two lines or more, blank ones included.
+    """
+    out = marked(docs.select("doc_id", "text"), singles=True)
     return out.select(
         F.col("row.doc_id").cast("long").alias("doc_id"), "n_lines", "n_removed", F.sha2(F.coalesce("left", F.lit("")), 256).alias("kept_sha256")
     )

@@ -116,7 +116,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 ORACLE_SQL: dict[str, str] = {}
 
 # Later copies of runs of two lines or more: a line goes if it starts or ends a pair of lines that stands earlier too.
-ORACLE_SQL["op2_line_dedup"] = """
+# Later copies of a line that holds a word go on their own as well.
+ORACLE_SQL["op2_line_dedup"] = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) AS i
   FROM documents WHERE text IS NOT NULL),
@@ -124,8 +125,11 @@ pairs AS (
   SELECT doc_id, i, md5(s) || md5(lead(s) OVER (PARTITION BY doc_id ORDER BY i)) AS p FROM lines),
 marked AS (
   SELECT doc_id, i, p IS NOT NULL AND row_number() OVER (PARTITION BY p ORDER BY doc_id, i) > 1 AS copied FROM pairs),
+alone AS (
+  SELECT doc_id, i, regexp_matches(s, '[^\x20\x09-\x0D]') AND row_number() OVER (PARTITION BY md5(s) ORDER BY doc_id, i) > 1 AS again FROM lines),
 gone AS (
-  SELECT doc_id, i, copied OR coalesce(lag(copied) OVER (PARTITION BY doc_id ORDER BY i), false) AS removed FROM marked),
+  SELECT doc_id, i, again OR copied OR coalesce(lag(copied) OVER (PARTITION BY doc_id ORDER BY i), false) AS removed
+  FROM marked JOIN alone USING (doc_id, i)),
 kept AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE removed) AS n_removed,
     coalesce(string_agg(s, chr(10) ORDER BY i) FILTER (WHERE NOT removed), '') AS text
