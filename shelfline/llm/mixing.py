@@ -28,6 +28,8 @@ BLOCK = 256  # words
 SHARD_SLOTS = 4096  # blocks an output shard holds on average
 GROUP_SHARDS = 4096  # shards drawn at once
 OUT_ROWS = 1 << 15  # slots sent to Spark at once
+TASK_SLOTS = 1 << 17  # slots a task finds
+MAX_TASKS = 100_000
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5  # of all words
 LIMIT = 2  # laps
@@ -176,7 +178,9 @@ def slots(sources: DataFrame) -> DataFrame:
     inner = drawn.select("rank", F.col("n").alias("slots"), "begin", (F.col("place") * each).alias("low"), F.lit(each).cast("long").alias("parts"))
     cells = inner.repartition("rank", "low").mapInPandas(_dealt, out).withColumnRenamed("place", "shard")
     named = cells.join(counted.select("rank", "source_size", "words"), "rank").select("rank", "source_size", "words", "shard", "begin", "n")
-    return named.repartition("rank", "shard").mapInPandas(_found, "rank long, shard long, slot long, block long, take long")
+    # A number given is kept at run time: cells are few rows, but make many slots.
+    tasks = min(MAX_TASKS, max(1, -(-total // TASK_SLOTS)))
+    return named.repartition(tasks, "rank", "shard").mapInPandas(_found, "rank long, shard long, slot long, block long, take long")
 
 
 def _pieces(rows: DataFrame, *more: str) -> DataFrame:
@@ -212,7 +216,7 @@ def mixture(docs: DataFrame) -> DataFrame:
     pieces = _pieces(rows.select("rank", "source", "start", "size", words.alias("words")), own)
     blocks = pieces.groupBy("rank", "block").agg(F.first("source").alias("source"), F.sort_array(F.collect_list(F.struct("low", "own"))).alias("p"))
     text = F.array_join(F.expr("slice(flatten(transform(p, x -> x.own)), 1, int(take))"), " ")
-    return slots(sources).join(blocks, ["rank", "block"]).select("shard", "source", "slot", text.alias("text"))
+    return slots(sources).hint("merge").join(blocks, ["rank", "block"]).select("shard", "source", "slot", text.alias("text"))
 
 
 def taken(docs: DataFrame) -> DataFrame:
@@ -222,12 +226,12 @@ def taken(docs: DataFrame) -> DataFrame:
     a source are its target rounded to a whole word. Null is a source of its own, after all others. Rows with null doc_id
     take part; repeated rows are documents of their own. Sources without words have target 0. An empty table gives no rows.
     """
-    rows = placed(_sized(docs))
+    rows = placed(stored(_sized(docs)))  # sizes are counted once, not again to find the ranges
     sources = targets(rows)
     named = sources.select(F.col("source").alias("_source"), "rank", "source_size", "target")
     rows = rows.join(named, rows["source"].eqNullSafe(named["_source"]))
     pieces = _pieces(rows.select("doc_id", "size", "source_size", "target", "rank", "start"))
-    joined = pieces.join(slots(sources).select("rank", "block", "take"), ["rank", "block"], "left")
+    joined = pieces.join(slots(sources).select("rank", "block", "take").hint("merge"), ["rank", "block"], "left")
     words = F.greatest(F.lit(0), F.least("high", F.coalesce("take", F.lit(0))) - F.col("low"))
     # (rank, start) names a document that has words.
     with_words = joined.groupBy("rank", "start", "doc_id", "size", "source_size", "target").agg(F.sum(words).alias("taken"))
