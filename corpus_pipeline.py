@@ -13,16 +13,27 @@ from shelfline.llm import decontamination, line_runs, resampling, simhash, subwo
 from shelfline.llm.common import ship, stored, table
 from shelfline.llm.queries import vocabulary
 
+#: Rows sent to a Python worker at once. Texts are a few kilobytes, some far longer; workers keep what their largest batch took.
+BATCH_ROWS = 1000
+
+
+def _ready(spark: SparkSession) -> None:
+    """Send the package to the executors and bound what a Python worker holds."""
+    ship(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
-    ship(spark)
+    _ready(spark)
     return resampling.selected(docs, table(spark, sf_dir, "labels"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated lines and line runs; those of which no word is left go, unless they had none."""
-    ship(spark)
+    _ready(spark)
     left = line_runs.without_copies(docs)
     n_chars = F.char_length("text").cast(docs.schema["n_chars"].dataType)
     return left.select(*((n_chars if c == "n_chars" else F.col(f"`{c}`")).alias(c) for c in docs.columns))
@@ -30,19 +41,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
-    ship(spark)
+    _ready(spark)
     return simhash.one_of_each(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    ship(spark)
+    _ready(spark)
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def segmentation(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of each document, and whether they decode to it."""
-    ship(spark)
+    _ready(spark)
     return subword.segmentations(docs, vocabulary("piece_bpe_32k.model"))
 
 
