@@ -8,13 +8,16 @@ vocabulary's own segmentation.
 
 No piece holds a space sign after another character, so the stretches from one run of spaces to the next are independent.
 They are worked off together: NumPy arrays hold the symbols of all stretches of a chunk, and each step does the best
-merge of every stretch that has one left. Characters without a piece become byte pieces, so do space signs that stand in the
+merge of every stretch that has one left. A stretch of over ``LONG`` characters (text without spaces) has a heap as its agenda
+instead, so its time grows with its length and the heap's depth, not with its square. Characters without a piece become byte pieces, so do space signs that stand in the
 text itself: decoding gives back every text exactly.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -22,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.words import mix
+from shelfline.llm.words import mix, mixed
 
 RATE = 0.1
 SEED = 7
 CHUNK_CHARACTERS = 1 << 17
+LONG = 512  # characters of a stretch from which on a heap holds its agenda
 SPACE_SIGN = 0x2581
 _NONE = np.int32(2**31 - 1)
 
@@ -61,6 +65,7 @@ class Pieces:
         scores = np.array([model.get_score(i) for i in range(size)])
         self.rank = np.empty(size, dtype=np.int32)
         self.rank[np.lexsort((np.arange(size), -scores))] = np.arange(size)
+        self.ranked = np.argsort(self.rank).tolist()  # piece of each rank
         self.characters = np.full(0x110000, -1, dtype=np.int32)
         for n, i in plain.items():
             if len(n) == 1:
@@ -73,6 +78,7 @@ class Pieces:
         ]
         left, right, whole = np.array(pairs, dtype=np.int64).reshape(-1, 3).T
         key = (left << 32) | right
+        self._ranks: dict[int, int] | None = None
         self.slots = max(1 << 10, 1 << int(np.ceil(np.log2(max(1, len(key)) * 8))))
         self.keys, self.values = np.full(self.slots, -1, dtype=np.int64), np.full(self.slots, -1, dtype=np.int32)
         slot, todo = self._slot(key), np.arange(len(key))
@@ -108,12 +114,61 @@ class Pieces:
         return out.astype(np.int32)
 
 
+    def ranks(self) -> dict[int, int]:
+        """Rank of the piece that each pair (left << 32 | right) makes; built when a long stretch first needs it."""
+        if self._ranks is None:
+            full = self.keys >= 0
+            self._ranks = dict(zip(self.keys[full].tolist(), self.rank[self.values[full]].tolist(), strict=True))
+        return self._ranks
+
+
 def pieces(path: str) -> Pieces:
     if path not in _loaded:
         _loaded[path] = Pieces(path)
     return _loaded[path]
 
 
+def _long_stretch(symbol: np.ndarray, order: np.ndarray, salt: np.ndarray, vocabulary: Pieces, under: int) -> np.ndarray:
+    """Work off one stretch by a heap of (rank, place): ``symbol`` is changed in place, which symbols are left is returned.
+
+    A place has one valid entry, that of its current ``rank``; entries of pairs that are gone are passed over.
+    """
+    n = len(symbol)
+    rank, symbols = array("q", order.astype(np.int64).tobytes()), array("q", symbol.astype(np.int64).tobytes())
+    following, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+    alive = np.ones(n, dtype=bool)
+    ranks, ranked, none = vocabulary.ranks(), vocabulary.ranked, int(_NONE)
+    agenda = ((order.astype(np.int64) << 32) | np.arange(n))[order < _NONE].tolist()
+    heapify(agenda)
+    while agenda:
+        entry = heappop(agenda)
+        at = entry & 0xFFFFFFFF
+        if rank[at] != entry >> 32:
+            continue
+        gone = following[at]
+        symbols[at] = ranked[rank[at]]
+        alive[gone] = False
+        rank[at] = rank[gone] = none
+        after = following[at] = following[gone]
+        if after < n:
+            before[after] = at
+        for left in (at, before[at]):
+            if left < 0 or following[left] >= n:
+                continue
+            first, second = symbols[left], symbols[following[left]]
+            found = none
+            if first >= 0 and second >= 0:
+                pair = (first << 32) | second
+                found = ranks.get(pair, none)
+                if found < none and under and mixed(int(salt[left]) ^ mixed(pair)) < under:
+                    found = none
+            rank[left] = found
+            if found < none:
+                heappush(agenda, (found << 32) | left)
+    symbol[:] = np.frombuffer(symbols, dtype=np.int64)
+    return alive
+
+
 def encode(texts: list[str], keys: np.ndarray, vocabulary: Pieces, rate: float = RATE, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts in a row, number of ids of each). ``keys``: 64-bit document keys. Empty text: no ids."""
     wide = "".join(" " + t for t in texts if t)  # the vocabulary puts a space before each text
@@ -153,8 +208,14 @@ def encode(texts: list[str], keys: np.ndarray, vocabulary: Pieces, rate: float =
         order[at] = np.where(piece >= 0, vocabulary.rank[piece], _NONE)
 
     consider(np.flatnonzero(following >= 0))
-    # ``live``: symbols of stretches with merges left, in order.
-    live = np.flatnonzero(np.repeat(np.minimum.reduceat(order, np.flatnonzero(head)) < _NONE, np.diff(np.append(np.flatnonzero(head), n))))
+    heads = np.flatnonzero(head)
+    lengths = np.diff(np.append(heads, n))
+    long = lengths > LONG
+    for first, length in zip(heads[long].tolist(), lengths[long].tolist(), strict=True):
+        part = slice(first, first + length)
+        alive[part] = _long_stretch(symbol[part], order[part], salt[part], vocabulary, int(under))
+    # ``live``: symbols of the other stretches with merges left, in order.
+    live = np.flatnonzero(np.repeat(~long & (np.minimum.reduceat(order, heads) < _NONE), lengths))
     while len(live):
         own = stretch[live]
         edge = np.flatnonzero(np.append(True, own[1:] != own[:-1]))

@@ -9,6 +9,7 @@ import numpy as np
 CHUNK_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_ALL = (1 << 64) - 1
 _powers: dict[str, np.ndarray] = {}
 
 #: Bytes between words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -32,6 +33,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def mixed(x: int) -> int:
+    """``mix`` of one unsigned value."""
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & _ALL
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & _ALL
+    return x ^ (x >> 31)
+
+
 class Words:
     """All words of a chunk: ``data`` bytes, ``start``/``end`` of each word, ``doc`` it belongs to, ``first`` word of each text."""
 

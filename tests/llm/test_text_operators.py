@@ -1,6 +1,7 @@
 """Token counts, merge dropout, substring and line removal against plain Python."""
 
 import hashlib
+import time
 from collections import Counter
 
 import numpy as np
@@ -87,6 +88,30 @@ def test_segmentation_is_the_agenda_one(rate):
         assert subword.decode(part, pieces) == text
 
 
+@pytest.mark.parametrize("rate", [0.0, 0.1, 0.5])
+def test_long_stretches_are_the_agenda_ones(rate, monkeypatch):
+    pieces = subword.pieces(vocabulary("piece_bpe_32k.model"))
+    monkeypatch.setattr(subword, "LONG", 8)
+    texts = ["a " + prose(3, 12).replace(" ", "") + " b c", "中文字符" * 5 + "x" * 20, "short words", "=" * 20 + " " * 18, "", *TEXTS]
+    keys = np.arange(len(texts)) + 9
+    ids, counts = subword.encode(texts, keys, pieces, rate, 7)
+    for text, key, part in zip(texts, keys.tolist(), np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+        assert part.tolist() == agenda(text, key, pieces, rate, 7)
+        assert subword.decode(part, pieces) == text
+
+
+def test_time_of_a_long_stretch_grows_with_its_length():
+    pieces = subword.pieces(vocabulary("piece_bpe_32k.model"))
+    letters = "".join(chr(97 + int(x)) for x in np.random.default_rng(5).integers(0, 26, 1 << 18))
+    seconds = {}
+    for size in (1 << 14, 1 << 15, 1 << 18):
+        begin = time.process_time()
+        ids, _ = subword.encode([letters[:size]], np.array([1]), pieces)
+        seconds[size] = time.process_time() - begin
+        assert subword.decode(ids, pieces) == letters[:size]
+    assert seconds[1 << 18] < 40 * seconds[1 << 15]  # eight times the text; the square would be 64
+
+
 def test_no_dropout_gives_the_library_segmentation(doc_rows):
     import sentencepiece
 
