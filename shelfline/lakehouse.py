@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -33,8 +33,9 @@ class Lakehouse:
         return cls(spark, lambda table: star_schema.read_bronze(spark, folder, table), as_of)
 
     @classmethod
-    def from_files(cls, spark: SparkSession, folder: str, as_of: dt.date) -> Lakehouse:
-        return cls(spark, lambda table: files.read_bronze(spark, folder, table), as_of)
+    def from_files(cls, spark: SparkSession, folder: str, as_of: dt.date, layouts: Mapping[str, str] | None = None) -> Lakehouse:
+        """Over raw files; ``layouts`` overrides the record layouts that ``schemas`` declares, table by table."""
+        return cls(spark, lambda table: files.read_bronze(spark, folder, table, layouts), as_of)
 
     @classmethod
     def from_loaded(cls, spark: SparkSession, folder: str, as_of: dt.date) -> Lakehouse:

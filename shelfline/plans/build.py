@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from shelfline.lakehouse import Lakehouse
-from shelfline.plans import cells, explore, gold, quality, silver
+from shelfline.plans import cells, explore, export, gold, quality, silver
 from shelfline.sources import schemas
-from shelfline.sources.tables import clustered, register_view, replace_table
+from shelfline.sources.tables import replace_clustered, replace_summary_view, replace_table
 
 # Table comments.
 COMMENTS = {
@@ -32,24 +32,35 @@ COLUMN_COMMENTS = {
     }
 }
 
-# Views for SQL users: name and the plan behind it.
+# Views for SQL users: name, the plan behind it and the order of its rows. The export view is one over its written factors.
 VIEWS = {
-    "business_dashboard": explore.business_dashboard,
-    "sales_analysis_export": explore.sales_analysis_export,
-    "monthly_report_data": explore.monthly_report,
-    "daily_sales_summary": gold.daily_sales_summary,
-    "v_daily_region_sales": gold.daily_region_sales,
-    "v_current_promotions": quality.current_promotions,
-    "v_promotion_performance_summary": quality.promotion_status_summary,
-    "v_top_performing_campaigns": quality.top_performing_campaigns,
+    "business_dashboard": (explore.business_dashboard, ""),
+    "monthly_report_data": (explore.monthly_report, ""),
+    "daily_sales_summary": (gold.daily_sales_summary, ""),
+    "v_daily_region_sales": (gold.daily_region_sales, ""),
+    "v_current_promotions": (quality.current_promotions, "end_date, roi_percentage DESC NULLS FIRST, promotion_id"),
+    "v_promotion_performance_summary": (
+        quality.promotion_status_summary,
+        "coalesce(nullif(array_position(array('Active', 'Scheduled', 'Completed'), promotion_status), 0), 4)",
+    ),
+    "v_top_performing_campaigns": (quality.top_performing_campaigns, "roi_percentage DESC, generated_revenue DESC, campaign_name"),
+}
+EXPORT = "sales_analysis_export"
+# View comments.
+VIEW_COMMENTS = {
+    "daily_sales_summary": "Résumé quotidien des ventes par région. Usage: Dashboards, monitoring quotidien, reporting opérationnel.",
+    "v_current_promotions": "Vue des promotions actuellement actives avec jours restants et métriques de performance.",
+    "v_promotion_performance_summary": "Résumé des performances des promotions par statut.",
+    "v_top_performing_campaigns": "Top 20 des campagnes marketing les plus performantes par ROI et revenu généré.",
 }
 
 
 def build(lake: Lakehouse, prefix: str = "") -> None:
-    """Write every Bronze, Silver and Gold table to databases of these names, serve them from there, register the views.
+    """Write every Bronze, Silver and Gold table to databases of these names, serve them from there, create the views.
 
-    Written tables cut the lineage: a lost executor costs a re-read, not a re-run of the cleaning. The views are temporary
-    ones of the session, over the written tables.
+    Written tables cut the lineage: a lost executor costs a re-read, not a re-run of the cleaning. The views lie in the Gold
+    database, readable by every session of the catalogue, as of this build like the tables; this session also knows them
+    by their bare names.
     """
     spark = lake.spark
     for layer in ("bronze", "silver", "gold"):
@@ -59,12 +70,12 @@ def build(lake: Lakehouse, prefix: str = "") -> None:
     for name in silver.TABLES:
         table = replace_table(lake.silver(name), f"{prefix}silver.{name}", COMMENTS[name])
         lake.use("silver", name, table)
-    for name, (columns, spread_by) in cells.TABLES.items():
-        laid_out = clustered(getattr(cells, name)(lake), columns, spread_by)
-        lake.use("gold", name, replace_table(laid_out, f"{prefix}gold.{name}"))
-    for name, (columns, spread_by) in gold.CLUSTERING.items():
-        laid_out = clustered(lake.gold(name), columns, spread_by)
-        table = replace_table(laid_out, f"{prefix}gold.{name}", COMMENTS[name], COLUMN_COMMENTS.get(name))
+    for name, layout in cells.TABLES.items():
+        lake.use("gold", name, replace_clustered(getattr(cells, name)(lake), f"{prefix}gold.{name}", layout))
+    for name, layout in gold.CLUSTERING.items():
+        table = replace_clustered(lake.gold(name), f"{prefix}gold.{name}", layout, COMMENTS[name], COLUMN_COMMENTS.get(name))
         lake.use("gold", name, table)
-    for name, plan in VIEWS.items():
-        register_view(plan(lake), name)
+    for name, (plan, order) in VIEWS.items():
+        view = replace_summary_view(plan(lake), f"{prefix}gold.{name}", VIEW_COMMENTS.get(name), order)
+        view.createOrReplaceTempView(name)
+    export.create_export_view(lake, f"{prefix}gold.{EXPORT}").createOrReplaceTempView(EXPORT)

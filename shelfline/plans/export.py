@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.dialect import lenient_id, mean, ratio
 from shelfline.operators.factors import CHUNK, bags, expanded
 from shelfline.operators.intervals import days_covered
-from shelfline.sources.tables import replace_partitions
+from shelfline.sources.tables import create_view, replace_partitions, replace_table
 
 if TYPE_CHECKING:
     from shelfline.lakehouse import Lakehouse
@@ -111,9 +111,32 @@ def sales_analysis_export(lake: Lakehouse) -> DataFrame:
     return combinations(joined(export_factors(lake)))
 
 
-def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    df.write.format("parquet").mode("overwrite").saveAsTable(name)
-    return spark.table(name)
+def written_factors(lake: Lakehouse, name: str) -> ExportFactors:
+    """The factors as tables, ``name`` with a suffix each."""
+    factors = export_factors(lake)
+    return ExportFactors(*(replace_table(getattr(factors, part.name), f"{name}__{part.name}") for part in fields(ExportFactors)))
+
+
+def create_export_view(lake: Lakehouse, name: str) -> DataFrame:
+    """Write the factors and create the whole view over them in the catalogue.
+
+    The stored text joins the factors and multiplies them, so every session can read the view, and a filter on its date or
+    region reaches the factors before anything is multiplied.
+    """
+    written_factors(lake, name)
+    entries = {"sales": SALE, "customers": CUSTOMER, "campaigns": CAMPAIGN, "promotions": PROMOTION, "stock": STOCK[:4], "shipments": SHIPMENT, "interactions": INTERACTION}
+    shown = {bag: [f"{bag}_entry.{column}" for column in entry] for bag, entry in entries.items()}
+    rest = [f"stock_entry.{column}" for column in STOCK[4:]]
+    sale = shown.pop("sales")
+    columns = ["day AS transaction_date", sale[0], "region", *sale[1:], *(c for part in shown.values() for c in part), *rest]
+    copies = " * ".join(f"coalesce({bag}_entry.times, 1L)" for bag in entries)
+    query = f"""SELECT {", ".join(columns)} FROM (
+    SELECT v.region, v.day, sales, customers, shipments, interactions, campaigns, promotions, stock
+    FROM {name}__visits v LEFT JOIN {name}__campaigns c ON v.region = c.region AND v.day = c.day
+    LEFT JOIN {name}__promotions p ON v.day = p.day LEFT JOIN {name}__stock s ON v.region = s.region) f
+    {" ".join(f"LATERAL VIEW OUTER explode({bag}) {bag}_view AS {bag}_entry" for bag in entries)}
+    LATERAL VIEW explode(sequence(1L, {copies})) copies_view AS copy_number"""
+    return create_view(lake.spark, name, query)
 
 
 def write_export(lake: Lakehouse, name: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
@@ -124,8 +147,7 @@ def write_export(lake: Lakehouse, name: str, first: dt.date | None = None, last:
     ``last`` choose months by any of their days; without them all months are written, sales without a date included.
     """
     spark = lake.spark
-    factors = export_factors(lake)
-    factors = ExportFactors(*(_stored(spark, getattr(factors, part), f"{name}__{part}") for part in ("visits", "campaigns", "promotions", "stock")))
+    factors = written_factors(lake, name)
     month = F.trunc("day", "month")
     months = [row[0] for row in factors.visits.select(month.alias("month")).distinct().collect()]  # bounded by the calendar
     low, high = first and first.replace(day=1), last and last.replace(day=1)

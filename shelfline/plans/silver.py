@@ -22,7 +22,10 @@ def financial_transactions(bronze: DataFrame, as_of: Column) -> DataFrame:
     """Whole positive amounts; then the earliest row of each transaction id."""
     amounts = bronze.withColumn("amount", lenient_number(without_spaces(F.col("amount"))))
     return keep_first(
-        amounts.where(F.col("amount") > 0), "transaction_id", [F.col("transaction_date").asc_nulls_last()]
+        amounts.where(F.col("amount") > 0),
+        "transaction_id",
+        [F.col("transaction_date").asc_nulls_last()],
+        ties=["transaction_type", "amount", "entity"],
     )
 
 

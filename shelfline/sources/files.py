@@ -5,6 +5,8 @@ Nothing read is lost: each record of a file is either accepted or kept as text i
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,13 +22,15 @@ CSV_OPTIONS = {
     "escape": '"',
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": BAD,
-    # A quoted field may hold line breaks. Such files do not split: large exports should come as several files, or be
-    # read with ``multiLine`` off where no field holds one.
-    "multiLine": "true",
 }
 RAW_LINE_OPTIONS = {"header": "true", "sep": "\u0001", "quote": ""}
 
 
+def csv_options(table: str, layout: str | None = None) -> dict[str, str]:
+    """Reader options of a table's record layout, the declared one unless another is given."""
+    return CSV_OPTIONS | {"multiLine": {"quoted": "true", "lines": "false"}[layout or schemas.CSV_LAYOUT[table]]}
+
+
 def text_schema(schema: T.StructType) -> T.StructType:
     """All fields as text, and the column that keeps records of another shape."""
     return T.StructType([*(T.StructField(f.name, T.StringType()) for f in schema), T.StructField(BAD, T.StringType())])
@@ -54,7 +58,7 @@ def parsed(texts: DataFrame, table: str) -> DataFrame:
     whole = texts.select(F.struct(*names).alias("_fields"), BAD)
     if optional:
         short = T.StructType([f for f in schema if f.name not in optional])
-        options = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "multiLine")}
+        options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
         ddl = ", ".join(f"{f.name} string" for f in text_schema(short))
         again = F.from_csv(F.col(BAD), F.lit(ddl), options)
         second = whole.withColumn("_again", F.when(F.col(BAD).isNotNull(), again))
@@ -71,9 +75,12 @@ def parsed(texts: DataFrame, table: str) -> DataFrame:
     return whole.select(*(_typed(f, texts_of[f.name]).alias(f.name) for f in schema), bad.alias(BAD))
 
 
-def read_delimited(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Read every record; one that does not fit the table keeps its text in ``_bad``."""
-    return parsed(spark.read.schema(text_schema(schemas.CSV_SCHEMAS[table])).options(**CSV_OPTIONS).csv(path), table)
+def read_delimited(spark: SparkSession, path: str, table: str, layout: str | None = None) -> DataFrame:
+    """Read every record; one that does not fit the table keeps its text in ``_bad``.
+
+    ``layout`` overrides the declared one. Read as lines, a record with a line break in a field is two lines that do not fit.
+    """
+    return parsed(spark.read.schema(text_schema(schemas.CSV_SCHEMAS[table])).options(**csv_options(table, layout)).csv(path), table)
 
 
 def accepted(scanned: DataFrame) -> DataFrame:
@@ -119,25 +126,48 @@ def read_json_lines(spark: SparkSession, path: str, column: str = "raw_data") ->
     return json_documents(spark.read.text(path), column)
 
 
-def scan(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """Scan one Bronze table's raw file, rejected records included in ``_bad``."""
+def read_json_elements(spark: SparkSession, path: str, fields: Sequence[tuple[str, str]], column: str = "raw_data") -> DataFrame:
+    """One variant (an array of one object) per object of the files' arrays, and rejects.
+
+    Spark's JSON source reads a file object by object, so its text is never one value; only ``fields`` are kept. A file that
+    is not one well-formed array of objects is one reject with its whole text.
+    """
+    names = [name for name, _ in fields]
+    schema = T.StructType([*(T.StructField(name, T.VariantType()) for name in names), T.StructField(BAD, T.StringType())])
+    rows = spark.read.schema(schema).options(multiLine="true", mode="PERMISSIVE", columnNameOfCorruptRecord=BAD).json(path)
+    # A broken file has no field. The test also makes the reader parse the fields where only rejects are asked for.
+    empty = F.lit(True)
+    for name in names:
+        empty &= F.col(name).isNull()
+    bad = F.when(empty, F.col(BAD))
+    return rows.select(F.when(bad.isNull(), F.to_variant_object(F.array(F.struct(*names)))).alias(column), bad.alias(BAD))
+
+
+def scan(spark: SparkSession, folder: str, table: str, layouts: Mapping[str, str] | None = None) -> DataFrame:
+    """Scan one Bronze table's raw file, rejected records included in ``_bad``.
+
+    ``layouts`` overrides the record layouts that ``schemas`` declares, table by table.
+    """
+    layout = (layouts or {}).get(table)
     path = f"{folder.rstrip('/')}/{schemas.FILES[table]}"
     if table in schemas.RAW_LINE_TABLES:
         return read_lines(spark, path).withColumn(BAD, F.lit(None).cast("string"))
     if table in schemas.JSON_TABLES:
-        read = read_json_lines if schemas.JSON_LAYOUT[table] == "lines" else read_json_documents
-        return read(spark, path)
-    return read_delimited(spark, path, table)
+        layout = layout or schemas.JSON_LAYOUT[table]
+        if layout == "elements":
+            return read_json_elements(spark, path, schemas.JSON_FIELDS[table])
+        return {"lines": read_json_lines, "documents": read_json_documents}[layout](spark, path)
+    return read_delimited(spark, path, table, layout)
 
 
-def read_bronze(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return accepted(scan(spark, folder, table))
+def read_bronze(spark: SparkSession, folder: str, table: str, layouts: Mapping[str, str] | None = None) -> DataFrame:
+    return accepted(scan(spark, folder, table, layouts))
 
 
-def reject_report(spark: SparkSession, folder: str) -> DataFrame:
+def reject_report(spark: SparkSession, folder: str, layouts: Mapping[str, str] | None = None) -> DataFrame:
     """Rejected record count of each Bronze table."""
     parts = [
-        rejects(scan(spark, folder, table)).agg(F.count("*").alias("rejected_lines"))
+        rejects(scan(spark, folder, table, layouts)).agg(F.count("*").alias("rejected_lines"))
         .select(F.lit(table).alias("table_name"), "rejected_lines")
         for table in schemas.BRONZE_TABLES
     ]

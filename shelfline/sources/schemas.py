@@ -51,9 +51,22 @@ CSV_SCHEMAS = {
 # Trailing columns the cross-domain analyses join on; files without them load with NULLs.
 OPTIONAL_COLUMNS = {"customer_service_interactions": ("customer_id", "order_id")}
 
+# "quoted": a quoted field may hold line breaks, so a file is one task; "lines": every line is a record, so that large files
+# split. Tables of codes, dates and numbers are declared as lines, those with free text as quoted.
+CSV_LAYOUT = {
+    "customer_demographics": "quoted",
+    "customer_service_interactions": "quoted",
+    "financial_transactions": "lines",
+    "promotions_data": "lines",
+    "marketing_campaigns": "quoted",
+    "logistics_and_shipping": "lines",
+    "supplier_information": "quoted",
+    "employee_records": "quoted",
+}
 RAW_LINE_TABLES = ("product_reviews",)
 JSON_TABLES = ("inventory_staging", "store_locations_staging")
-# "documents": a file is one document, or one a line; "lines": always one a line, so that large files split.
+# "documents": a file is one document, or one a line; "lines": always one a line, so that large files split; "elements": a file
+# is one array of objects, read object by object.
 JSON_LAYOUT = {"inventory_staging": "documents", "store_locations_staging": "documents"}
 BRONZE_TABLES = (*CSV_SCHEMAS, *RAW_LINE_TABLES, *JSON_TABLES)
 
@@ -96,3 +109,4 @@ STORE_FIELDS = (
     ("square_footage", "decimal(10,2)"),
     ("employee_count", "bigint"),
 )
+JSON_FIELDS = {"inventory_staging": INVENTORY_FIELDS, "store_locations_staging": STORE_FIELDS}

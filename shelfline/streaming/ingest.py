@@ -39,7 +39,7 @@ def load_new_files(
     """
     if table in schemas.CSV_SCHEMAS:
         reader = spark.readStream.schema(files.text_schema(schemas.CSV_SCHEMAS[table]))
-        rows = files.parsed(reader.options(**files.CSV_OPTIONS).csv(landing), table)
+        rows = files.parsed(reader.options(**files.csv_options(table)).csv(landing), table)
     elif table in schemas.RAW_LINE_TABLES:
         rows = spark.readStream.schema("raw_line string").options(**files.RAW_LINE_OPTIONS).csv(landing)
         rows = rows.withColumn(files.BAD, F.lit(None).cast("string"))

@@ -92,3 +92,16 @@ def test_the_whole_view_is_written_month_after_month(spark, lake, day):
     assert {r.month for r in written.select("month").collect()} == {None, day("2024-01-01"), day("2024-02-01")}
     again = export.write_export(lake, name, first=day("2024-02-15"))  # a rerun replaces its months and keeps the others
     assert Counter(tuple(r)[:-1] for r in again.collect()) == want
+
+
+def test_every_session_reads_the_export_view(spark, lake):
+    spark.sql("CREATE DATABASE IF NOT EXISTS export_test")
+    want = row_by_row(lake)
+    for _ in range(2):  # a rerun replaces the view and its factors
+        view = export.create_export_view(lake, "export_test.export_view")
+    assert view.columns == want.columns
+    assert Counter(map(tuple, view.collect())) == Counter(map(tuple, want.collect()))
+    other = spark.newSession().sql("SELECT * FROM export_test.export_view WHERE transaction_date = DATE '2024-02-01'")
+    assert Counter(map(tuple, other.collect())) == Counter(tuple(r) for r in want.collect() if str(r.transaction_date) == "2024-02-01")
+    scans = [line for line in other._jdf.queryExecution().executedPlan().toString().splitlines() if "PushedFilters" in line]
+    assert sum("EqualTo(day,2024-02-01)" in line for line in scans) >= 3  # visits, campaigns and promotions

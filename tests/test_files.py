@@ -190,3 +190,62 @@ def test_a_swap_that_stops_halfway_loses_nothing(spark):
     assert spark.table(name).count() == 4
     assert replace_table(spark.table(name).limit(2), name).count() == 2
     assert not spark.catalog.tableExists(f"{name}__old") and not spark.catalog.tableExists(f"{name}__next")
+
+
+def test_record_layouts_of_delimited_files(spark, landing, tmp_path):
+    header = ",".join(schemas.CSV_SCHEMAS["promotions_data"].names)
+    records = [f'P{i},"Snacks, ""{i}""",Coupon,{i % 50},2024-02-01,2024-02-02,S' for i in range(3000)]
+    (tmp_path / "promotions-data.csv").write_text("\n".join([header, *records, "P1,short", ""]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        lines = files.scan(spark, landing, "promotions_data")
+        quoted = files.scan(spark, landing, "promotions_data", {"promotions_data": "quoted"})
+        assert lines.rdd.getNumPartitions() > 4 and quoted.rdd.getNumPartitions() == 1
+        assert files.accepted(lines).count() == 3000 and files.accepted(lines).exceptAll(files.accepted(quoted)).isEmpty()
+        assert [r.line for r in files.rejects(lines).collect()] == ["P1,short"] and files.rejects(quoted).count() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    # A line break in a field: one record where fields may hold them, otherwise two lines that are kept as rejects.
+    (tmp_path / "promotions-data.csv").write_text(f'{header}\nP1,"Sna\ncks",Coupon,5,2024-02-01,2024-02-02,S\nP2,Snacks,Coupon,5,2024-02-01,2024-02-02,S\n')
+    assert files.read_bronze(spark, landing, "promotions_data", {"promotions_data": "quoted"}).count() == 2
+    assert [r.promotion_id for r in files.read_bronze(spark, landing, "promotions_data").collect()] == ["P2"]
+    assert {r.table_name: r.rejected_lines for r in files.reject_report(spark, landing).collect()}["promotions_data"] == 2
+
+
+def test_json_arrays_are_read_object_by_object(spark, landing, tmp_path, day):
+    layouts = {"inventory_staging": "elements", "store_locations_staging": "elements"}
+    whole = Lakehouse.from_files(spark, landing, day("2024-06-01"))
+    single = Lakehouse.from_files(spark, landing, day("2024-06-01"), layouts)
+    assert single.bronze("inventory_staging").count() == len(INVENTORY) and whole.bronze("inventory_staging").count() == 1
+    for table in ("inventory_clean", "store_locations_clean"):
+        assert sorted(map(str, single.silver(table).collect())) == sorted(map(str, whole.silver(table).collect()))
+    (tmp_path / "inventory.json").write_text('[{"product_id": "A"}, {"product_id": ')
+    scanned = files.scan(spark, landing, "inventory_staging", layouts)
+    assert files.accepted(scanned).count() == 0 and [r.line[:4] for r in files.rejects(scanned).collect()] == ["[{"[:2] + '"p']
+    assert files.rejects(scanned).count() == 1
+    assert {r.table_name: r.rejected_lines for r in files.reject_report(spark, landing, layouts).collect()}["inventory_staging"] == 1
+
+
+def test_files_skip_on_every_clustered_column(spark, tmp_path, day):
+    from pyspark.sql import functions as F
+
+    from shelfline.sources.tables import clustered
+
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("R"), F.col("id") % 16)).alias("region"),
+        F.date_add(F.lit(day("2024-01-01")), F.pmod(F.hash("id"), F.lit(300))).alias("day"),
+        F.when(F.col("id") % 100 > 0, F.col("id") % 16).alias("kind"),
+        "id",
+    )
+    clustered(rows, ["day", "region"], "id", files=16).write.parquet(str(tmp_path / "laid"))
+    laid = spark.read.parquet(str(tmp_path / "laid"))
+    assert laid.exceptAll(rows).isEmpty() and laid.count() == 40_000
+    ends = laid.groupBy(F.input_file_name().alias("file")).agg(*(f(c).alias(f"{n}_{c}") for c in ("region", "day") for n, f in (("low", F.min), ("high", F.max))), F.count("*").alias("n"))
+    files_ = ends.collect()
+    assert len(files_) == 16 and max(f.n for f in files_) < 3 * 40_000 / 16
+    for column, value in (("region", "R13"), ("region", "R2"), ("day", day("2024-02-20")), ("day", day("2024-09-01"))):
+        read = [f for f in files_ if f[f"low_{column}"] is not None and f[f"low_{column}"] <= value <= f[f"high_{column}"]]
+        assert 0 < len(read) <= 8, (column, value, len(read))
+    empty = clustered(rows.where("false"), ["day", "region"], "id")
+    assert empty.collect() == [] and clustered(rows.select(F.lit(None).cast("string").alias("x"), "id"), ["x"], "id").count() == 40_000

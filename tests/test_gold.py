@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfline import Lakehouse
 from shelfline.plans import explore, gold, quality, registry
-from shelfline.plans.build import build
+from shelfline.plans.build import VIEW_COMMENTS, VIEWS, build
 from shelfline.sources.tables import write_report
 
 TODAY = dt.date(2020, 3, 1)
@@ -264,6 +264,16 @@ def test_built_tables_serve_the_queries(spark, lake, tmp_path):
     assert spark.table("test_gold.sales_enriched").count() == lake.gold("sales_enriched").count()
     detail = {row.col_name: row for row in spark.sql("DESCRIBE EXTENDED test_gold.promotions_active").collect()}
     assert "performance" in detail["Comment"].data_type and "Revenu net" in detail["roi_percentage"].comment
+    other = spark.newSession()
+    for name, (plan, order) in VIEWS.items():
+        view, want = other.table(f"test_gold.{name}").drop(*gold.AUDIT), plan(lake).drop(*gold.AUDIT)
+        assert view.columns == want.columns and view.count() == want.count(), name
+        if order:
+            assert [r[0] for r in view.collect()] == [r[0] for r in want.collect()], name
+        text = {row.col_name: row.data_type for row in other.sql(f"DESCRIBE EXTENDED test_gold.{name}").collect()}
+        assert text["Type"] == "VIEW" and text.get("Comment") == VIEW_COMMENTS.get(name)
+    assert len(VIEWS) + 1 == 8 and other.table("test_gold.sales_analysis_export").limit(5).count() == 5
+    assert not [t.name for t in other.catalog.listTables("test_gold") if t.name.endswith(("__flat", "__next", "__old"))]
     report = str(tmp_path / "report")
     write_report(registry.PLANS["promotion_report"](written), report)
     assert spark.read.option("header", "true").csv(report).count() == registry.PLANS["promotion_report"](lake).count()

@@ -42,3 +42,26 @@ def test_keep_first_prunes_before_the_shuffle(spark):
     kept = keep_first(df, "k", [F.col("n").asc_nulls_last()])
     assert {tuple(row) for row in kept.collect()} == {("a", 1, "y"), (None, 4, "m")}
     assert kept._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 2
+
+
+def test_keep_first_shuffles_a_hash_in_place_of_unused_columns(spark):
+    df = spark.createDataFrame([("a", 1, "x", "p", 1.0), ("a", 1, "x", "q", 2.0), ("a", 1, "y", "p", 3.0), ("b", 2, "z", None, None)], "k string, n int, s string, t string, v double")
+    kept = keep_first(df, "k", [F.col("n").asc_nulls_last()], ties=["s"])
+    rows = {tuple(row) for row in kept.collect()}
+    assert kept.columns == df.columns and len(rows) == 2 and ("b", 2, "z", None, None) in rows
+    assert rows == {tuple(row) for row in keep_first(df.repartition(3), "k", [F.col("n").asc_nulls_last()], ties=["s"]).collect()}
+    assert [row.s for row in kept.where("k = 'a'").collect()] == ["x"]
+
+
+def test_quarterly_growth_shuffles_no_unused_column(spark, day):
+    from shelfline import Lakehouse
+    from shelfline.plans import explore
+    from shelfline.sources import schemas
+
+    rows = [(f"T{i % 7}", day("2024-01-05"), "Sale", str(i + 1), "Cash", "7", "N", "A") for i in range(20)]
+    lake = Lakehouse.from_frames(spark, day("2024-06-30"), financial_transactions=spark.createDataFrame(rows, schemas.CSV_SCHEMAS["financial_transactions"]).repartition(3))
+    plan = explore.quarterly_growth(lake)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    exchange = [block for block in plan.split("\n\n") if "Exchange" in block and "hashpartitioning(transaction_id" in block]
+    assert len(exchange) == 1 and "_hash" in exchange[0]
+    for unused in ("payment_method", "region", "account_code"):
+        assert unused not in exchange[0]
