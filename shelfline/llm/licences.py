@@ -5,7 +5,8 @@ gives the probability of each licence family and of "unknown". It is trained on
 and usual phrasings, on their notices, and, as unknown, on the same phrasings with other names and on a bounded sample of
 paragraphs from the corpus. The unknown class is calibrated on held-out rows: a family is accepted only above the
 probability that held-out unknown paragraphs stay under, save for a share ``FALSE_SHARE``. An accepted paragraph is then
-compared with the templates of its family, and confirmed if it holds enough of the words and word pairs of one of them.
+compared with the templates of its family, and confirmed if it holds enough of the words and word pairs of one of them. It is
+not confirmed where another family's template explains all of these and more: "CC BY-NC" in a statement of "CC BY-NC-SA".
 """
 
 from __future__ import annotations
@@ -30,16 +31,23 @@ CONFIRMED = 0.6  # share of a template's words and word pairs
 NAMES = {
     "AGPL": ["GNU Affero General Public License", "GNU Affero General Public License, version 3", "AGPL-3.0", "AGPLv3", "GNU AGPL"],
     "Apache": ["Apache License, Version 2.0", "Apache License 2.0", "Apache-2.0", "Apache 2.0", "Apache License"],
+    "BSL": ["Boost Software License", "Boost Software License 1.0", "BSL-1.0", "Boost Software License, Version 1.0"],
     "BSD": ["BSD License", "BSD 3-Clause License", "BSD 2-Clause License", "BSD-3-Clause", "BSD-2-Clause", "New BSD License", "Simplified BSD License"],
     "CC-BY": ["CC BY 4.0", "Creative Commons Attribution 4.0 International License", "CC-BY-4.0", "CC BY 3.0", "Creative Commons Attribution License"],
     "CC-BY-NC": ["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License", "CC-BY-NC-4.0", "CC BY-NC 3.0", "CC BY-NC"],
+    "CC-BY-NC-ND": ["CC BY-NC-ND 4.0", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License", "CC-BY-NC-ND-4.0", "CC BY-NC-ND 3.0", "CC BY-NC-ND"],
+    "CC-BY-NC-SA": ["CC BY-NC-SA 4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "CC-BY-NC-SA-4.0", "CC BY-NC-SA 3.0", "CC BY-NC-SA"],
+    "CC-BY-ND": ["CC BY-ND 4.0", "Creative Commons Attribution-NoDerivatives 4.0 International License", "CC-BY-ND-4.0", "CC BY-ND 3.0", "CC BY-ND"],
     "CC-BY-SA": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License", "CC-BY-SA-4.0", "CC BY-SA 3.0", "CC BY-SA"],
     "CC0": ["CC0", "CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero", "CC0 1.0 Universal Public Domain Dedication"],
+    "EPL": ["Eclipse Public License", "Eclipse Public License, version 2.0", "EPL-2.0", "Eclipse Public License 2.0", "EPL 2.0", "EPL-1.0"],
     "GPL": ["GNU General Public License", "GNU General Public License, version 3", "GNU General Public License, version 2", "GPL-3.0", "GPLv3", "GPLv2", "GNU GPL"],
     "ISC": ["ISC License", "ISC"],
     "LGPL": ["GNU Lesser General Public License", "GNU Lesser General Public License, version 3", "LGPL-3.0", "LGPLv3", "LGPL-2.1", "GNU LGPL"],
     "MIT": ["MIT License", "MIT", "Expat License", "The MIT License (MIT)"],
     "MPL": ["Mozilla Public License", "Mozilla Public License, version 2.0", "MPL-2.0", "Mozilla Public License 2.0", "MPL 2.0"],
+    "Unlicense": ["Unlicense", "The Unlicense"],
+    "zlib": ["zlib License", "zlib/libpng License"],
     UNKNOWN: ["standard terms", "supplier agreement", "house rules", "terms of the publisher", "general terms of sale", "name of the author", "old county charter", "rules of the club", "direction of the board", "same roof"],
 }
 PHRASES = [
@@ -58,7 +66,10 @@ NOTICES = {
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
     "LGPL": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"],
     "MIT": ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
+    "EPL": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License"],
     "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "zlib": ["This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."],
     UNKNOWN: [
         "All rights reserved.", "Permission to speak was granted by the chair.", "The licence fee is due in spring.", "He lost his driving licence.",
         "Copies of the report are free of charge.", "The public may use the general entrance.", "Version 2.0 of the plan was released in May.",
@@ -80,21 +91,27 @@ def terms(text: Column) -> Column:
 
 
 def _statements(spark: SparkSession) -> DataFrame:
-    """(family, text, template) of all names in all phrases and of the notices."""
+    """(family, text, template, need) of all names in all phrases and of the notices; need: a word that must be held, or empty."""
     named = F.array(*(F.struct(F.lit(f).alias("family"), F.lit(n).alias("name")) for f, names in NAMES.items() for n in names))
     made = spark.range(1).select(F.explode(named).alias("s")).select("s.family", "s.name", F.explode(F.array(*map(F.lit, PHRASES))).alias("phrase"))
     made = made.select("family", F.replace("phrase", F.lit("{}"), F.col("name")).alias("text"), "name")
     # A name of one word is also a word of some language: its templates are the whole statements.
-    made = made.select("family", "text", F.when(F.size(words(F.col("name"))) > 1, F.col("name")).otherwise(F.col("text")).alias("template"))
+    # These must hold the name, as the rest of the statement fits every family.
+    several, named_by = F.size(words(F.col("name"))) > 1, F.element_at(words(F.col("name")), 1)
+    made = made.select("family", "text", F.when(several, F.col("name")).otherwise(F.col("text")).alias("template"), F.when(several, "").otherwise(named_by).alias("need"))
     noted = F.array(*(F.struct(F.lit(f).alias("family"), F.lit(n).alias("text")) for f, notices in NOTICES.items() for n in notices))
-    notes = spark.range(1).select(F.explode(noted).alias("s")).select("s.family", "s.text", F.col("s.text").alias("template"))
+    notes = spark.range(1).select(F.explode(noted).alias("s")).select("s.family", "s.text", F.col("s.text").alias("template"), F.lit("").alias("need"))
     return made.union(notes)
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    """(family, templates): for each family the terms of its names and notices."""
-    known = _statements(spark).where(F.col("family") != UNKNOWN).select("family", F.array_distinct(terms(F.col("template"))).alias("terms"))
-    return known.groupBy("family").agg(F.collect_set("terms").alias("templates"))
+    """(family, templates): for each family the terms of its names and notices, and the word each needs, if any."""
+    known = _statements(spark).where(F.col("family") != UNKNOWN).select("family", F.struct(F.array_distinct(terms(F.col("template"))).alias("terms"), "need").alias("template"))
+    return known.groupBy("family").agg(F.collect_set("template").alias("templates"))
+
+
+def _named(template: Column) -> Column:
+    return (template["need"] == "") | F.array_contains(F.col("terms"), template["need"])
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
@@ -135,15 +152,33 @@ class Classifier:
     @staticmethod
     def _alike(rows: DataFrame) -> DataFrame:
         """Add ``alike``: the largest share of one template's terms among ``terms``."""
-        share = F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("terms"))) / F.size(t))
+        share = F.transform("templates", lambda t: F.when(_named(t), F.size(F.array_intersect(t["terms"], F.col("terms"))) / F.size(t["terms"])).otherwise(F.lit(0.0)))
         return rows.withColumn("alike", F.array_max(share))
 
     def predict(self, lines: DataFrame) -> DataFrame:
         """``lines`` accepted as a family, with family, probability and alike (the template comparison)."""
         scored = self.model.transform(self.hashing.transform(lines.withColumn("terms", terms(F.col("text")))))
         accepted = self._with_family(scored).where(F.col("probability") >= self.least).drop("features", "raw", "p", "best")
-        # A dozen families, so their templates are broadcast.
-        return self._alike(accepted.join(F.broadcast(templates(lines.sparkSession)), "family")).drop("templates", "terms")
+        # Some twenty families, so their templates are broadcast.
+        known = templates(lines.sparkSession)
+        every = known.agg(F.collect_list(F.struct("family", "templates")).alias("every"))
+        compared = self._alike(accepted.join(F.broadcast(known), "family")).join(F.broadcast(every))
+        return compared.withColumn("confirmed", self._confirmed()).drop("templates", "terms", "every")
+
+    @staticmethod
+    def _confirmed() -> Column:
+        """Whether enough of a template is held and no other family's template holds the same terms of the text and more."""
+
+        def held(templates: Column) -> Column:
+            """Of each template: its share held, the number of terms held, these terms."""
+            named = F.filter(templates, _named)
+            shared = F.transform(named, lambda t: F.struct(t["terms"].alias("t"), F.array_intersect(t["terms"], F.col("terms")).alias("held")))
+            return F.transform(shared, lambda s: F.struct((F.size(s["held"]) / F.size(s["t"])).alias("share"), F.size(s["held"]).alias("n"), s["held"].alias("held")))
+
+        own = F.array_max(held(F.col("templates")))
+        others = F.flatten(F.transform(F.filter("every", lambda e: e["family"] != F.col("family")), lambda e: held(e["templates"])))
+        rival = F.exists(others, lambda r: (r["share"] >= CONFIRMED) & (r["n"] > own["n"]) & (F.size(F.array_except(own["held"], r["held"])) == 0))
+        return F.coalesce((F.col("alike") >= CONFIRMED) & ~rival, F.lit(False))
 
 
 def scan(docs: DataFrame, sample: int = CORPUS_SAMPLE) -> DataFrame:
@@ -154,7 +189,7 @@ def scan(docs: DataFrame, sample: int = CORPUS_SAMPLE) -> DataFrame:
     """
     lines = paragraphs(docs)
     found = Classifier(docs.sparkSession, lines, sample).predict(lines)
-    return found.select("doc_id", "paragraph", "family", "probability", "alike", (F.col("alike") >= CONFIRMED).alias("confirmed"), "text")
+    return found.select("doc_id", "paragraph", "family", "probability", "alike", "confirmed", "text")
 
 
 def licences(docs: DataFrame) -> DataFrame:
