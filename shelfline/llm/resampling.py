@@ -4,8 +4,10 @@ Words and pairs of neighbouring words are hashed into ``BUCKETS`` buckets. Three
 (every document), the target (labelled good and not toxic) and the labelled toxic text. A document's log importance weight
 is its mean log ratio per n-gram of the target model to the raw model; a second ratio, target to toxic, counts only n-grams
 that speak clearly for the toxic model. Both are set to zero at the quantile ``LOST`` of target documents held out from
-the fit, and the lower one counts. As many documents are kept as have a weight of zero or more, drawn by Gumbel top-k:
-the ``k`` largest sums of weight / ``TEMPERATURE`` and Gumbel noise, the noise keyed by seed, doc_id and text.
+the fit, and the lower one counts. ``k`` documents are drawn without replacement in proportion to
+exp(weight / temperature), by Gumbel top-k: the k largest sums of weight / temperature and Gumbel noise, the noise keyed
+by seed, doc_id and text. Unless given, k is the number of documents with a weight of zero or more. A text without a
+letter or digit has no weight and is never drawn.
 
 The models of the target and of toxic text are fitted on at most ``LABELLED`` labelled rows, those with the smallest hashes
 of their ids. Raw counts, weights, the number kept and the k-th largest key cover all documents.
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import identified, rows_of, sample_of, stored
@@ -31,6 +33,7 @@ LOST = 0.005
 CLEAR = -2.0
 TEMPERATURE = 0.05
 SEED = 20
+WORD = r"[\p{L}\p{N}]"
 _REPEAT = np.uint64(12345)  # bucket key of a word that follows itself
 
 
@@ -104,7 +107,7 @@ def _ratio(own: np.ndarray, other: np.ndarray) -> np.ndarray:
 
 
 def weighted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, kind, held, good, clean): both mean log ratios of every document. No words: both zero."""
+    """(doc_id, rid, kind, held, worded, good, clean): both mean log ratios of every document, and whether it holds a letter or digit."""
     spark = docs.sparkSession
     sample = F.broadcast(stored(labelled_kinds(labels)))  # LABELLED rows of 17 bytes at most
     rows = identified(docs)
@@ -124,7 +127,7 @@ def weighted(docs: DataFrame, labels: DataFrame) -> DataFrame:
             yield pd.DataFrame({"good": out[0], "clean": out[1]})
 
     return rows.withColumn("s", score("text")).join(sample, "doc_id", "left").select(
-        "doc_id", "rid", "kind", "held", F.col("s.good").alias("good"), F.col("s.clean").alias("clean")
+        "doc_id", "rid", "kind", "held", F.coalesce(F.col("text").rlike(WORD), F.lit(False)).alias("worded"), F.col("s.good").alias("good"), F.col("s.clean").alias("clean")
     )
 
 
@@ -151,12 +154,37 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> int | None:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def gumbel(seed: Column, *keys: str) -> Column:
+    """Standard Gumbel noise, -log(-log u), with u uniform in (0, 1) from 52 bits of a hash of seed and keys."""
+    uniform = (F.shiftrightunsigned(F.xxhash64(seed, *keys), 12).cast("double") + 0.5) / F.lit(2.0**52)
+    return -F.log(-F.log(uniform))
+
+
+def draw(rows: DataFrame, k: int | float | None = None, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
+    """Add ``kept`` to ``rows(doc_id, rid, weight)``: a Gumbel top-k draw in proportion to exp(weight / temperature).
+
+    ``k``: a number of rows, a share of them (a float up to 1), or None for as many as weigh zero or more. Rows without
+    weight are never drawn and don't count. Rows equal in weight, doc_id and rid share a key, and ties at the k-th key
+    all stay. More than there are: all stay. None to draw: none stay.
+    """
+    key = F.floor((F.col("weight") / temperature + gumbel(F.lit(seed), "doc_id", "rid")) * F.lit(2.0**40)).cast("long")
+    keyed = stored(rows.withColumn("key", key))
+    n, heavy = keyed.agg(F.count("key"), F.count_if(F.col("weight") >= 0)).first()
+    size = heavy if k is None else min(n, round(k * n) if isinstance(k, float) else k)
+    least = kth_largest(keyed.where("key is not null"), "key", size)
+    kept = F.coalesce(F.col("key") >= least, F.lit(False)) if least is not None else F.lit(False)
+    return keyed.withColumn("kept", kept).drop("key")
+
+
+def resample(
+    docs: DataFrame, labels: DataFrame, k: int | float | None = None, temperature: float = TEMPERATURE, seed: int = SEED
+) -> DataFrame:
     """(doc_id, rid, weight, kept) of every row of ``docs(doc_id, text)``; ``labels(doc_id, quality, toxic)``.
 
-    Null or empty text: both log ratios are zero, no evidence against it. Null doc_id: weighed like any other. Rows that
-    repeat doc_id and text get equal keys and are kept or rejected together, so that ties at the k-th key all stay. No
-    usable labels: all weights are zero and everything is kept. ``rid`` is a hash of the text. Other columns are ignored.
+    Null or empty text, or one without a letter or digit: weight null, not kept. Null doc_id: weighed like any other. Rows
+    that repeat doc_id and text get equal keys and are kept or rejected together. No usable labels: there is nothing to
+    tell rows apart, all weights are zero. ``rid`` is a hash of the text. Other columns are ignored. ``k``,
+    ``temperature``, ``seed``: see ``draw``.
     """
     rows = stored(weighted(docs, labels))
     cut = rows.where("held and kind = 1").agg(
@@ -165,23 +193,16 @@ def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     parts = []
     for name, low, spread in (("good", cut[0], cut[2]), ("clean", cut[1], cut[3])):
         parts.append((F.col(name) - F.lit(float(low or 0))) / F.lit(float(spread or 0) or 1.0))
-    weight = F.least(*parts) if cut[0] is not None else F.lit(0.0)
-    # Uniform in (0, 1) from 52 bits of a keyed hash; Gumbel noise is -log(-log u).
-    uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "doc_id", "rid"), 12).cast("double") + 0.5) / F.lit(2.0**52)
-    noise = -F.log(-F.log(uniform))
-    key = F.floor((F.col("weight") / TEMPERATURE + noise) * F.lit(2.0**40)).cast("long")
-    keyed = stored(rows.select("doc_id", "rid", weight.alias("weight")).withColumn("key", key))
-    k = keyed.where("weight >= 0").count()
-    least = kth_largest(keyed, "key", k)
-    return keyed.select("doc_id", "rid", "weight", (F.col("key") >= least).alias("kept") if least is not None else F.lit(False).alias("kept"))
+    weight = F.when(F.col("worded"), F.least(*parts)) if cut[0] is not None else F.lit(0.0)
+    return draw(rows.select("doc_id", "rid", weight.alias("weight")), k, temperature, seed)
 
 
 def selected(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns."""
+    """The rows of ``docs`` that are kept, with all their columns. Null ids match null ids; repeated rows stay together; see ``resample``."""
     kept = stored(resample(docs, labels).where("kept").select("doc_id", "rid").distinct())
     return rows_of(docs, kept, "left_semi")
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Result of the query: doc_id, weight (six digits), kept."""
+    """Result of the query: doc_id, weight (six digits; null without a letter or digit), kept."""
     return resample(docs, labels).select("doc_id", F.round("weight", 6).alias("weight"), "kept")
