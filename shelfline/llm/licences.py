@@ -1,6 +1,7 @@
 """Licence scan by a trained paragraph classifier, DataFrame functions only.
 
-A paragraph (a line of a text) becomes a sparse vector of hashed words and word pairs. A multinomial logistic regression
+A paragraph (a line of a text, or up to ``WRAPPED`` neighbouring lines of one wrapped sentence) becomes a sparse vector of
+hashed words and word pairs. A multinomial logistic regression
 gives the probability of each licence family and of "unknown". It is trained on statements made from the families' names
 and usual phrasings, on their notices, and, as unknown, on the same phrasings with other names and on a bounded sample of
 paragraphs from the corpus. The unknown class is calibrated on held-out rows: a family is accepted only above the
@@ -14,18 +15,21 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import sample_of, stored
 
 UNKNOWN = "unknown"
+WORD = r"[\p{L}\p{N}]"
 FEATURES = 1 << 13
 CORPUS_SAMPLE = 8_000  # paragraphs of the corpus used in training
 HELD_OUT = 0.25
 FALSE_SHARE = 0.001
 LEAST = 0.5  # least probability of an accepted family
 CONFIRMED = 0.6  # share of a template's words and word pairs
+WRAPPED = 4  # lines taken together, at most
+WIDTH = 120  # characters of a line that may go on in the next one, at most
 
 # Licence families and the names they go by.
 NAMES = {
@@ -115,9 +119,47 @@ def _named(template: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, paragraph, text): every line with a word, numbered from 0 in its document."""
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("paragraph", "text"))
-    return lines.where(F.col("text").rlike(r"[\p{L}\p{N}]"))
+    """(doc_id, rid, paragraph, n_lines, text): every line with a word, numbered from 0, and wrapped lines taken together.
+
+    A line goes on in the next one if it has ``WIDTH`` characters at most, does not end with . ! ? or :, and the next line
+    holds a word. At each line that goes on start a paragraph of two lines and, if it goes on further, one of up to
+    ``WRAPPED``. Lines of one paragraph are joined by a line break. ``rid`` is a hash of the whole text.
+    """
+    text = F.col("text").cast("string")
+    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("rid"), F.split(text, "\n").alias("lines"))
+    goes_on = F.transform("lines", lambda x: (F.char_length(x) <= WIDTH) & ~x.rlike(r"[.!?:]\s*$") & x.rlike(WORD))
+    lines = lines.withColumn("goes_on", goes_on).select("*", F.posexplode("lines").alias("paragraph", "line")).where(F.col("line").rlike(WORD))
+
+    def joined(n: int) -> Column:
+        """The lines from this one on as far as they go on, ``n`` at most."""
+        size = F.lit(n)
+        for i in range(n - 1, 0, -1):
+            here = F.coalesce(F.get("goes_on", F.col("paragraph") + i - 1), F.lit(False))
+            more = F.coalesce(F.get("lines", F.col("paragraph") + i).rlike(WORD), F.lit(False))
+            size = F.when(here & more, size).otherwise(F.lit(i))
+        return F.struct(size.alias("n_lines"), F.array_join(F.slice("lines", F.col("paragraph") + 1, size), "\n").alias("text"))
+
+    one = F.struct(F.lit(1).alias("n_lines"), F.col("line").alias("text"))
+    several = F.filter(F.array_distinct(F.array(joined(2), joined(WRAPPED))), lambda x: x["n_lines"] > 1)
+    wrapped = F.when(F.get("goes_on", F.col("paragraph")), F.concat(F.array(one), several)).otherwise(F.array(one))
+    return lines.select("doc_id", "rid", "paragraph", F.inline(wrapped).alias("n_lines", "text"))
+
+
+def _without_overlaps(found: DataFrame) -> DataFrame:
+    """``found`` without unconfirmed wrapped paragraphs, those that hold a confirmed line of their family, and those near a better one.
+
+    Of wrapped paragraphs of a family that start less than ``WRAPPED`` lines apart, the one that holds most of a template
+    stays; ties go to fewer lines, then to the first.
+    """
+    found = found.where("n_lines = 1 or confirmed")
+    family = Window.partitionBy("doc_id", "rid", "family").orderBy("paragraph")
+    line = F.min(F.when(F.expr("n_lines = 1 and confirmed"), F.col("paragraph"))).over(family.rangeBetween(0, WRAPPED - 1))
+    whole = F.when(F.col("n_lines") > 1, F.struct("alike", -F.col("n_lines"), -F.col("paragraph")))
+    marked = found.withColumn("line", line).withColumn("whole", whole)
+    named = F.coalesce(F.col("line") < F.col("paragraph") + F.col("n_lines"), F.lit(False))
+    best = F.max(F.when(~named, F.col("whole"))).over(family.rangeBetween(1 - WRAPPED, WRAPPED - 1))
+    marked = marked.withColumn("named", named).withColumn("best", best)
+    return marked.where((F.col("n_lines") == 1) | (~F.col("named") & (F.col("whole") == F.col("best")))).drop("line", "whole", "named", "best")
 
 
 class Classifier:
@@ -131,9 +173,11 @@ class Classifier:
         some = lines.join(F.broadcast(places), ["doc_id", "paragraph"], "left_semi").select("text").distinct()
         held = self._alike(some.withColumn("terms", terms(F.col("text"))).crossJoin(F.broadcast(templates(spark))))
         other = held.groupBy("text").agg(F.max("alike").alias("alike")).where(F.col("alike") < CONFIRMED)
-        rows = _statements(spark).select("family", "text").union(other.select(F.lit(UNKNOWN), "text")).distinct()
-        rows = rows.select("text", number.cast("double").alias("label"), terms(F.col("text")).alias("terms"))
-        rows = rows.withColumn("held", F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1000)) < int(1000 * HELD_OUT))
+        # There is one notice of each wording, so notices are always trained on; statements and paragraphs may be held out.
+        notice = (F.col("template") == F.col("text")) & (F.col("need") == "")
+        rows = _statements(spark).select("family", "text", notice.alias("notice")).union(other.select(F.lit(UNKNOWN), "text", F.lit(False))).distinct()
+        rows = rows.select("text", "notice", number.cast("double").alias("label"), terms(F.col("text")).alias("terms"))
+        rows = rows.withColumn("held", F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1000)) < int(1000 * HELD_OUT)).withColumn("held", F.expr("held and not notice"))
         self.hashing = HashingTF(inputCol="terms", outputCol="features", numFeatures=FEATURES, binary=True)
         rows = stored(self.hashing.transform(rows).drop("terms"))
         regression = LogisticRegression(family="multinomial", regParam=1e-4, maxIter=60, probabilityCol="p", rawPredictionCol="raw", predictionCol="best")
@@ -182,19 +226,22 @@ class Classifier:
 
 
 def scan(docs: DataFrame, sample: int = CORPUS_SAMPLE) -> DataFrame:
-    """(doc_id, paragraph, family, probability, alike, confirmed, text) of every paragraph accepted as a licence family.
+    """(doc_id, paragraph, n_lines, family, probability, alike, confirmed, text) of every paragraph accepted as a licence family.
 
-    Null or empty text: no paragraphs. Null doc_id stays null; repeated rows give repeated rows; paragraphs of any length
-    are classified whole. An empty table gives no rows. Ties between families go to the first by name. Other columns are ignored.
+    ``paragraph`` is its first line, ``n_lines`` the number of lines. Lines that are accepted and not confirmed are returned
+    as such; wrapped paragraphs only if confirmed, and not beside a confirmed line of theirs. Null or empty text: no
+    paragraphs. Null doc_id stays null; repeated rows give repeated rows; paragraphs of any length are classified whole. An
+    empty table gives no rows. Ties between families go to the first by name. Other columns are ignored.
     """
-    lines = paragraphs(docs)
-    found = Classifier(docs.sparkSession, lines, sample).predict(lines)
-    return found.select("doc_id", "paragraph", "family", "probability", "alike", "confirmed", "text")
+    found = paragraphs(docs)
+    found = Classifier(docs.sparkSession, found.where("n_lines = 1"), sample).predict(found)
+    return _without_overlaps(found).select("doc_id", "paragraph", "n_lines", "family", "probability", "alike", "confirmed", "text")
 
 
 def licences(docs: DataFrame) -> DataFrame:
-    """Result of the query: doc_id, paragraph, family, probability and alike (four digits), n_chars of confirmed licences."""
+    """Result of the query: doc_id, paragraph, n_lines, family, probability and alike (four digits), n_chars of confirmed licences."""
     found = scan(docs).where("confirmed")
     return found.select(
-        "doc_id", "paragraph", "family", F.round("probability", 4).alias("probability"), F.round("alike", 4).alias("alike"), F.char_length("text").cast("long").alias("n_chars")
+        "doc_id", "paragraph", "n_lines", "family", F.round("probability", 4).alias("probability"), F.round("alike", 4).alias("alike"),
+        F.char_length("text").cast("long").alias("n_chars"),
     )

@@ -136,6 +136,36 @@ def test_quality_without_labels_or_rows(corpus):
     assert resampling.resample(docs.where("false"), labels).collect() == []
 
 
+def test_draw_follows_the_weights(spark):
+    """Over many seeds, the chance to be drawn is that of drawing one by one in proportion to exp(weight / temperature)."""
+    weights, temperature, seeds = [0.0, 0.05, 0.1, -0.1, 0.15], 0.05, 4_000
+    docs = spark.createDataFrame([(i, i * 7, w) for i, w in enumerate(weights)], "doc_id long, rid long, weight double")
+    keys = spark.range(seeds).withColumnRenamed("id", "seed").join(docs)
+    keys = keys.withColumn("key", F.col("weight") / temperature + resampling.gumbel(F.col("seed").cast("int"), "doc_id", "rid"))
+    order = keys.groupBy("seed").agg(F.array_sort(F.collect_list(F.struct((-F.col("key")).alias("key"), "doc_id"))).alias("order")).collect()
+    odds = np.exp(np.array(weights) / temperature)
+    first = odds / odds.sum()
+    second = np.array([first[i] + sum(first[j] * odds[i] / (odds.sum() - odds[j]) for j in range(5) if j != i) for i in range(5)])
+    for k, chance in ((1, first), (2, second)):
+        drawn = Counter(e.doc_id for r in order for e in r.order[:k])
+        share = np.array([drawn[i] for i in range(5)]) / seeds
+        assert np.all(np.abs(share - chance) < 4 * np.sqrt(chance * (1 - chance) / seeds))
+    top = next(r.order for r in order if r.seed == 3)
+    for k, n in ((0.6, 3), (9, 5), (0, 0)):
+        kept = {r.doc_id for r in resampling.draw(docs.coalesce(1), k, temperature, 3).collect() if r.kept}
+        assert kept == {e.doc_id for e in top[:n]}
+
+
+def test_texts_without_words_are_rejected(corpus):
+    docs, labels = corpus
+    bare = docs.sparkSession.createDataFrame([(900, "%%% ### @@@", 3), (901, " \n ", 3), (902, "w1 w2 w3 %%%", 3)], docs.schema)
+    out = {r.doc_id: r for r in resampling.resample(docs.union(bare), labels).collect()}
+    assert all(out[i].weight is None and not out[i].kept for i in (300, 301, 900, 901)) and out[902].weight is not None
+    half = resampling.resample(docs, labels, k=0.5).collect()
+    worded = sum(r.weight is not None for r in half)
+    assert sum(r.kept for r in half) in (round(worded / 2), round(worded / 2) + 1)
+
+
 def test_kth_largest(spark):
     values = [5, 5, 5, -7, 0, 1 << 62, -(1 << 62), 123456789012345, -1, 77]
     table = spark.createDataFrame([(v,) for v in values], "key long")
@@ -202,6 +232,30 @@ def test_licences_are_found_and_prose_is_not(spark):
     assert licences.scan(docs.where("false")).collect() == []
 
 
+WRAPPED = [
+    ("Redistribution and use in source and binary forms, with or\nwithout modification, are permitted provided that the following\nconditions are met:", "BSD"),
+    ("Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated documentation\nfiles", "MIT"),
+    ("This program and the accompanying materials are made available\nunder the terms of the Eclipse Public\nLicense", "EPL"),
+]
+
+
+def test_wrapped_notices_are_found_once(spark):
+    rows = [(i, prose(i, 60) + "\n" + text + "\n\n" + prose(i + 99, 30)) for i, (text, _) in enumerate(WRAPPED)]
+    rows += [(10, "Released under the MIT License.\nReleased under the MIT License.\nshort line\nanother one"), (11, "a\nb\n\nc\nd"), (12, None)]
+    rows += [(0, rows[0][1])] + [(100 + i, prose(200 + i, 80)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = licences.scan(docs).where("confirmed").collect()
+    got = Counter((r.doc_id, r.family) for r in found)
+    assert got == Counter([(0, "BSD"), (0, "BSD"), (1, "MIT"), (2, "EPL"), (10, "MIT"), (10, "MIT")])
+    for r in found:
+        assert r.text == "\n".join(dict(rows)[r.doc_id].split("\n")[r.paragraph : r.paragraph + r.n_lines])
+    units = {(r.paragraph, r.n_lines, r.text) for r in licences.paragraphs(docs.where("doc_id in (10, 11)")).collect()}
+    assert units == {
+        (0, 1, "Released under the MIT License."), (1, 1, "Released under the MIT License."), (2, 1, "short line"), (2, 2, "short line\nanother one"),
+        (3, 1, "another one"), (0, 1, "a"), (0, 2, "a\nb"), (1, 1, "b"), (3, 1, "c"), (3, 2, "c\nd"), (4, 1, "d"),
+    }
+
+
 # Pipeline
 
 
