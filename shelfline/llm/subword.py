@@ -15,6 +15,7 @@ text itself: decoding gives back every text exactly.
 
 from __future__ import annotations
 
+import itertools
 from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
@@ -263,12 +264,13 @@ def document_key(doc_id: int | None) -> int:
     return -(1 << 63) if doc_id is None else int(doc_id)
 
 
-def encoded(docs: DataFrame, path: str, rate: float = RATE, seed: int = SEED) -> DataFrame:
+def encoded(docs: DataFrame, path: str, rate: float = RATE, seed: int = SEED, back: bool = False) -> DataFrame:
     """(doc_id, text, ids) of every row. Null or empty text: no ids. Null doc_id: a key of its own. Other columns are ignored.
 
-    Rows that repeat a doc_id are encoded each; equal ids and texts get equal segmentations.
+    Rows that repeat a doc_id are encoded each; equal ids and texts get equal segmentations. ``back`` adds the text that the
+    ids decode to, found in the same worker, so that they needn't travel to a second one.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.list_(pa.int32()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.list_(pa.int32()))] + [("back", pa.string())] * back)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces(path)
@@ -285,11 +287,14 @@ def encoded(docs: DataFrame, path: str, rate: float = RATE, seed: int = SEED) ->
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.int32()))
                 part = batch.slice(at, end - at)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), column], schema=schema)
+                columns = [part.column("doc_id"), part.column("text"), column]
+                if back:
+                    columns.append(pa.array([decode(flat[a:b], vocabulary) for a, b in itertools.pairwise(offsets.tolist())], type=pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
                 at = end
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, text string, ids array<int>")
+    return rows.mapInArrow(run, "doc_id long, text string, ids array<int>" + ", back string" * back)
 
 
 def decoded(column, path: str):
@@ -308,7 +313,7 @@ def segmentations(docs: DataFrame, path: str, rate: float = RATE, seed: int = SE
 
     lossless: the decoded text is the text. A null text counts as empty.
     """
-    out = encoded(docs, path, rate, seed).withColumn("back", decoded(F.col("ids"), path))
+    out = encoded(docs, path, rate, seed, back=True)
     return out.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),
