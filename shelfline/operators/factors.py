@@ -26,14 +26,19 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: st
     return condition
 
 
-def bags(rows: DataFrame, keys: Sequence[str], entry: Sequence[str], name: str, chunk: int = CHUNK) -> DataFrame:
+def bags(
+    rows: DataFrame, keys: Sequence[str], entry: Sequence[str], name: str, chunk: int = CHUNK, copies: str | None = None
+) -> DataFrame:
     """(keys, ``name``): the rows of each key as arrays of structs (``entry`` columns, ``times``), one row a chunk.
 
     Null keys are keys like any other. Keys with at most ``chunk`` different entries have one row; the entries of others are
-    dealt by their hash.
+    dealt by their hash. ``copies`` names a column that says how many rows a row stands for.
     """
-    counted = rows.groupBy(*keys, *entry).agg(F.count(F.lit(1)).alias("times"))
-    sizes = counted.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.ceil(F.count(F.lit(1)) / chunk).alias("_chunks"))
+    times = F.count(F.lit(1)) if copies is None else F.sum(copies)
+    counted = rows.groupBy(*keys, *entry).agg(times.alias("times"))
+    # Sizes read ``times`` as well: Spark would otherwise drop the column there and scan and group the rows a second time.
+    different = F.count_if(F.col("times") > 0)
+    sizes = counted.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.ceil(different / chunk).alias("_chunks"))
     large = sizes.where(F.col("_chunks") > 1)
     dealt = counted.join(large, same_keys(counted, large, keys, "_"), "left")
     slot = F.coalesce(F.pmod(F.xxhash64(*entry), F.col("_chunks")), F.lit(0))

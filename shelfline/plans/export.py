@@ -47,7 +47,10 @@ def review_scores(lake: Lakehouse) -> DataFrame:
 
 
 def export_factors(lake: Lakehouse, chunk: int = CHUNK) -> ExportFactors:
-    """The bags of the export view; each table grows with its inputs (ranges: with the days they cover)."""
+    """The bags of the export view; each table grows with its inputs (ranges: with the days they cover).
+
+    Equal promotions are counted before they are expanded into days, equal items before they meet their review scores.
+    """
     sold = lake.silver("financial_transactions_clean").where(F.col("transaction_type") == "Sale")
     sold = sold.select(lenient_id(F.col("entity")).alias("id"), "region", F.col("transaction_date").alias("day"), *SALE)
     visits = bags(sold, ["id", "region", "day"], SALE, "sales", chunk)
@@ -60,15 +63,16 @@ def export_factors(lake: Lakehouse, chunk: int = CHUNK) -> ExportFactors:
     visits = visits.join(of_id("logistics_and_shipping_clean", "order_id", SHIPMENT, "shipments"), "id", "left")
     visits = visits.join(of_id("customer_service_interactions_clean", "customer_id", INTERACTION, "interactions"), "id", "left")
 
+    copies = F.count(F.lit(1)).alias("copies")
     campaigns = days_covered(lake.silver("marketing_campaigns_clean").where("region is not null"))
-    promotions = days_covered(lake.silver("promotions_clean"))
+    promotions = days_covered(lake.silver("promotions_clean").groupBy("start_date", "end_date", *PROMOTION).agg(copies))
     items = lake.silver("inventory_clean").where("region is not null")
-    items = items.select("region", "product_category", "stock_level", "current_stock", "reorder_point").join(review_scores(lake), "product_category", "left")
+    items = items.groupBy("region", *STOCK[:4]).agg(copies).join(review_scores(lake), "product_category", "left")
     return ExportFactors(
         visits,
         bags(campaigns, ["region", "day"], CAMPAIGN, "campaigns", chunk),
-        bags(promotions, ["day"], PROMOTION, "promotions", chunk),
-        bags(items, ["region"], STOCK, "stock", chunk),
+        bags(promotions, ["day"], PROMOTION, "promotions", chunk, "copies"),
+        bags(items, ["region"], STOCK, "stock", chunk, "copies"),
     )
 
 

@@ -105,3 +105,28 @@ def test_every_session_reads_the_export_view(spark, lake):
     assert Counter(map(tuple, other.collect())) == Counter(tuple(r) for r in want.collect() if str(r.transaction_date) == "2024-02-01")
     scans = [line for line in other._jdf.queryExecution().executedPlan().toString().splitlines() if "PushedFilters" in line]
     assert sum("EqualTo(day,2024-02-01)" in line for line in scans) >= 3  # visits, campaigns and promotions
+
+
+def test_rows_are_read_once_for_sizes_and_entries(spark):
+    rows = spark.createDataFrame([(i % 40, i) for i in range(2000)], "k long, v long")
+    found = bags(rows, ["k"], ["v"], "bag", chunk=5)
+    assert sum(len(r.bag) for r in found.collect()) == 2000
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Scan ExistingRDD") == 1 and "ReusedExchange" in plan
+
+
+def test_rows_that_stand_for_several_give_the_same_bags(spark):
+    rows = spark.createDataFrame([("a", i % 3) for i in range(10)] + [(None, None)] * 2, "k string, v int")
+    counted = rows.groupBy("k", "v").agg(F.count("*").alias("n"))
+    halves = counted.selectExpr("k", "v", "n - 1 n").where("n > 0").unionAll(counted.selectExpr("k", "v", "1L n"))
+
+    def entries(df):
+        return Counter((r.k, e.v, e.times) for r in df.collect() for e in r.bag)
+
+    assert entries(bags(halves, ["k"], ["v"], "bag", copies="n")) == entries(bags(rows, ["k"], ["v"], "bag"))
+
+
+def test_documents_of_a_small_part_file_are_built_by_all_tasks(spark):
+    from shelfline.sources.star_schema import read_bronze
+
+    assert read_bronze(spark, "/root/testdata/sf0.001", "inventory_staging").rdd.getNumPartitions() == 8
