@@ -127,6 +127,8 @@ def test_rows_that_stand_for_several_give_the_same_bags(spark):
 
 
 def test_documents_of_a_small_part_file_are_built_by_all_tasks(spark):
-    from shelfline.sources.star_schema import read_bronze
+    from shelfline.sources.star_schema import _inventory_documents
 
-    assert read_bronze(spark, "/root/testdata/sf0.001", "inventory_staging").rdd.getNumPartitions() == 8
+    part = spark.range(0, 40, 1, 1).selectExpr("id p_partkey", "'LARGE' p_type", "3 p_size")
+    documents = _inventory_documents(part)
+    assert documents.count() == 40 and documents.rdd.getNumPartitions() == 8
