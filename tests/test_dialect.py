@@ -1,9 +1,13 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from shelfline.functions import bands
 from shelfline.functions.dialect import (
     half_up,
+    half_up_double,
     leading_word,
     lenient_date,
     lenient_id,
@@ -45,6 +49,20 @@ def test_rounding_is_half_away_from_zero_despite_binary_noise(spark):
     assert one(spark, half_up(F.lit(-2.5), 0)) == -3.0
 
 
+@pytest.mark.parametrize("digits", [0, 2, 4])
+def test_quick_rounding_equals_rounding_through_decimals(spark, digits):
+    draw = random.Random(digits)
+    values = [None, float("nan"), 0.0, -0.0, -1e-9, 1e-9, 2.675, 1.00005, 1e12, -1e12, 123456789012345.67, 1e25]
+    for _ in range(4000):
+        tie = (draw.randrange(-10**9, 10**9) + 0.5) / 10**digits
+        values += [tie, math.nextafter(tie, 0), tie + draw.choice([-1, 1]) * 10.0 ** -draw.randrange(4, 12)]
+        values += [draw.uniform(-1, 1) * 10.0 ** draw.randrange(-6, 16), draw.randrange(1, 10**6) * (1 - draw.randrange(100) / 100)]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(2)
+    got = df.select(F.col("x"), half_up_double(F.col("x"), digits).alias("a"), half_up(F.col("x"), digits).alias("b"))
+    # As text, so that a negative zero counts.
+    assert got.where("NOT CAST(a AS STRING) <=> CAST(b AS STRING)").limit(5).collect() == []
+
+
 def test_zero_divisor_gives_null(spark):
     assert one(spark, ratio(F.lit(5), F.lit(0))) is None
 

@@ -112,6 +112,38 @@ def test_fact_repeats_a_sale_for_each_promotion_and_campaign(lake, spark):
     assert rows(got) == rows(want)
 
 
+def shuffled_records(plan):
+    """Rows written by the shuffles of an executed plan."""
+    name = plan.getClass().getSimpleName()
+    inner = {"AdaptiveSparkPlanExec": "executedPlan", "ShuffleQueryStageExec": "plan", "BroadcastQueryStageExec": "plan"}
+    if name in inner:
+        return shuffled_records(getattr(plan, inner[name])())
+    children = plan.children()
+    below = sum(shuffled_records(children.apply(i)) for i in range(children.size()))
+    return below + (plan.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0)
+
+
+def test_fact_shuffles_no_combinations_and_spreads_its_rows(spark):
+    from shelfline.sources import schemas
+
+    days = [dt.date(2020, 1, d) for d in range(1, 21)]
+    tables = {
+        "financial_transactions": [(f"T{i}", days[i % 20], "Sale", "7", "Cash", "1", "N", "AC") for i in range(40)],
+        "promotions_data": [(f"P{i}", "PROMO", "Bundle", 5.0, days[0], days[19], "N") for i in range(15)],
+        "marketing_campaigns": [
+            (f"C{i}", "name", "TV", "PROMO", "Adults", days[0], days[19], "N", 9, 9, 0.05) for i in range(15)
+        ],
+    }
+    frames = {name: spark.createDataFrame(rows, schemas.CSV_SCHEMAS[name]) for name, rows in tables.items()}
+    fact = gold.sales_enriched(Lakehouse.from_frames(spark, TODAY, **frames))
+    got = fact.select("sale_id", "promotion_id", "campaign_id", F.spark_partition_id().alias("task"))
+    found = got.collect()
+    assert len(found) == len({row[:3] for row in found}) == 40 * 15 * 15
+    # 300 days of promotions, 300 of campaigns and the sales; combinations of a day's promotions and campaigns are 4,500.
+    assert shuffled_records(got._jdf.queryExecution().executedPlan()) < 1500
+    assert len({row.task for row in found}) > 3
+
+
 def test_day_summary_equals_aggregating_the_fact(lake, spark):
     views(lake)
     want = spark.sql("""
